@@ -14,7 +14,7 @@ from pageloom.functions.names import (
     label_filename,
 )
 from pageloom.operators.order import ROWS_PER_CHUNK, order_chunk
-from pageloom.operators.responses import STORE_KEYS
+from pageloom.operators.responses import STORE_KEYS, payload
 
 CONTAINER_CONTEXT = "http://iiif.io/api/presentation/3/context.json"
 DEFAULT_LABEL = "A Container for Web Annotations"
@@ -147,7 +147,7 @@ def collection_annotations(collections: DataFrame, prefix: str = CONTAINER_PREFI
         .select(
             "container_slug",
             annotation_slug(F.col("_id")).alias("annotation_slug"),
-            _payload(F.col("_item")).alias("payload"),
+            payload(F.col("_item")).alias("payload"),
             "part",
             "seq",
             "pos",
@@ -155,12 +155,6 @@ def collection_annotations(collections: DataFrame, prefix: str = CONTAINER_PREFI
     )
 
 
-def _payload(item: Column) -> Column:
-    from pageloom.operators.responses import payload
-
-    return payload(item)
-
-
 def collection_containers(collections: DataFrame, prefix: str = CONTAINER_PREFIX) -> DataFrame:
     slug = container_slug(F.col("id"), label_filename(F.col("label")), prefix)
     return collections.select(*container_row(slug, F.col("label"))).dropDuplicates(["container_slug"])

@@ -121,7 +121,7 @@ def _sorted_fold(rows: pd.DataFrame, budget: int) -> tuple[pd.DataFrame, _Fold]:
 
 
 def _chunk_starts(
-    tagged: DataFrame, budget: int, start_tokens: int
+    tagged: DataFrame, budget: int, start_tokens: int, start_batch: int
 ) -> DataFrame:
     """Per shard and chunk, tokens used and batch number at its start and its end.
 
@@ -138,7 +138,7 @@ def _chunk_starts(
         )
 
     def follow(key, rows):
-        used, batch, out = start_tokens, 0, []
+        used, batch, out = start_tokens, start_batch, []
         for row in rows.sort_values("chunk").itertuples():
             start = (used, batch)
             at = int(np.searchsorted(row.above, used, side="left")) - 1
@@ -178,6 +178,7 @@ def token_batches(
     completion: str = "completion_tokens",
     shard: str | None = None,
     start_tokens: int = 0,
+    start_batch: int = 0,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """``(seq, batch)``: the batch every row falls in under a token budget.
@@ -188,7 +189,7 @@ def token_batches(
     """
     tagged = _tagged(df, seq, prompt, completion, shard, rows_per_chunk)
     # One row per shard and chunk.
-    starts = _chunk_starts(tagged, budget, start_tokens)
+    starts = _chunk_starts(tagged, budget, start_tokens, start_batch)
 
     def label(key, rows):
         rows, fold = _sorted_fold(rows, budget)
@@ -212,12 +213,13 @@ def token_state(
     completion: str = "completion_tokens",
     shard: str | None = None,
     start_tokens: int = 0,
+    start_batch: int = 0,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Per shard, the tokens in use after all rows: the start of the next run."""
+    """Per shard, tokens in use and batch number after all rows: the start of the next run."""
     tagged = _tagged(df, seq, prompt, completion, shard, rows_per_chunk)
-    last = _chunk_starts(tagged, budget, start_tokens).groupBy("shard").agg(
+    last = _chunk_starts(tagged, budget, start_tokens, start_batch).groupBy("shard").agg(
         F.max_by("used_out", "chunk").alias("token_count"),
-        F.max_by("batch_out", "chunk").alias("pauses"),
+        F.max_by("batch_out", "chunk").alias("batch"),
     )
     return last.drop("shard") if shard is None else last.withColumnRenamed("shard", shard)
