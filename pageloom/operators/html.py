@@ -34,15 +34,20 @@ def _block_lists(pages: list, with_text: bool) -> tuple[pa.Array, pa.Array]:
     return blocks, pa.array(errors, pa.string())
 
 
-def html_blocks(df: DataFrame, html: str = "html", with_text: bool = True) -> DataFrame:
+def html_blocks(
+    df: DataFrame, html: str = "html", with_text: bool = True, keep_html: bool = False
+) -> DataFrame:
     """Replace the ``html`` column by ``blocks ARRAY<STRUCT>`` and ``html_error``.
 
     One Python pass over Arrow batches, no shuffle, one row in and one out. The text of
     nested unclosed paragraphs repeats, so it can outgrow the page; ``with_text=False``
-    leaves it NULL for callers that read ``own_text`` alone. Filter on the URL before this
+    leaves it NULL for callers that read ``own_text`` alone. ``keep_html`` keeps the page. Filter on the URL before this
     step, since no filter moves below it.
     """
     others = [f for f in df.schema.fields if f.name != html]
+    kept = [df.schema[html], *others] if keep_html else others
+    names = [f.name for f in kept] + ["blocks", "html_error"]
+    first = 0 if keep_html else 1
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -50,12 +55,10 @@ def html_blocks(df: DataFrame, html: str = "html", with_text: bool = True) -> Da
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
                 blocks, errors = _block_lists(part.column(0).to_pylist(), with_text)
-                kept = [part.column(i + 1) for i in range(len(others))]
-                names = [f.name for f in others] + ["blocks", "html_error"]
-                yield pa.RecordBatch.from_arrays([*kept, blocks, errors], names)
+                yield pa.RecordBatch.from_arrays([*part.columns[first:], blocks, errors], names)
 
     schema = T.StructType(
-        [*others, T.StructField("blocks", T.ArrayType(BLOCK)), T.StructField("html_error", T.StringType())]
+        [*kept, T.StructField("blocks", T.ArrayType(BLOCK)), T.StructField("html_error", T.StringType())]
     )
     return df.select(html, *[f.name for f in others]).mapInArrow(parse, schema)
 

@@ -22,13 +22,8 @@ def run_summary(urls: DataFrame, parsed: DataFrame, decisions: DataFrame) -> Dat
         F.count_if("is_new").alias("annotations_uploaded"),
         F.coalesce(F.count_if(~F.col("is_new")) + F.sum("_repeats"), F.lit(0)).alias("annotations_skipped"),
     )
-    one = F.lit(1).alias("_one")
-    return (
-        seen.select("*", one)
-        .join(found.select("*", one), "_one")
-        .join(stored.select("*", one), "_one")
-        .drop("_one")
-    )
+    rows = seen.unionByName(found, True).unionByName(stored, True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
 
 
 def observed(df: DataFrame, name: str, *metrics: Column) -> DataFrame:

@@ -75,12 +75,12 @@ def annotate_crawl(
     parsed = parse_response(shared_table(answers(accepted, model)))
     created = run_container(pages, collection_id, title)
     store = replace_containers(existing, created)
-    # One container row.
-    incoming = (
-        annotations(parsed)
-        .withColumn("annotation_slug", annotation_slug(F.col("annotation.id")))
-        .select("seq", "pos", "annotation_slug", "payload")
-        .join(F.broadcast(created.select("container_slug")), F.lit(True))
+    incoming = annotations(parsed).select(
+        "seq",
+        "pos",
+        created.select("container_slug").scalar().alias("container_slug"),
+        annotation_slug(F.col("annotation.id")).alias("annotation_slug"),
+        "payload",
     )
     decisions = shared_table(upsert_decisions(incoming, store.annotations))
     inserted = decisions.where("is_new").select(*KEYS, "payload")
@@ -116,24 +116,20 @@ def resume_crawl(
     )
     labelled = pages.select("seq", "url", "html").join(labels, "seq")
     wanted = F.coalesce(F.col("llm_decision") == "archive", F.lit(False))
-    # Pages that are not wanted pass the parser as NULL.
-    parsed = html_blocks(labelled.withColumn("_page", F.when(wanted, F.col("html"))), "_page")
-    prompts = parsed.withColumn(
-        "processed_html",
-        F.when(wanted, prompt_text(F.col("url"), processed_html(F.col("blocks")))),
+    prompts = html_blocks(labelled.where(wanted), keep_html=True).withColumn(
+        "processed_html", prompt_text(F.col("url"), processed_html(F.col("blocks")))
     )
     if model is None:
         answered = A.rule_response(prompts).withColumnRenamed("response", "generated_annotation")
     else:
         asked = A.infer(
-            prompts.where(wanted).drop("blocks", "html_error"), "processed_html", model, "generated_annotation"
+            prompts.drop("blocks", "html_error"), "processed_html", model, "generated_annotation"
         )
-        answered = asked.drop("generated_annotation_error").unionByName(
-            prompts.where(~wanted)
-            .drop("blocks", "html_error")
-            .withColumn("generated_annotation", F.lit(None).cast("string"))
-        )
-    records = shared_table(checkpoint_records(answered))
+        answered = asked.drop("generated_annotation_error")
+    others = labelled.where(~wanted)
+    for name in ("processed_html", "generated_annotation"):
+        others = others.withColumn(name, F.lit(None).cast("string"))
+    records = shared_table(checkpoint_records(answered.unionByName(others)))
     append_checkpoint(records, checkpoint)
     return records
 

@@ -25,6 +25,7 @@ def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(cores),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         **extra,
     }
