@@ -14,8 +14,8 @@ _IPV6 = r"(?=(?:[^:]*:){2,8}[^:]*\z)(?!.*::.*::)(?!.*:::)[0-9A-Fa-f:]+(?:\d{1,3}
 _BRACKETS = rf"^[^\[\]]*\[(?:v[0-9A-Fa-f]+\..+|{_IPV6})\z"
 
 
-def _pieces(url: Column) -> Column:
-    """The five raw pieces in one regex pass.
+def url_pieces(url: Column) -> Column:
+    """ARRAY of the five raw pieces in one regex pass; NULL for a NULL url.
 
     Line breaks are dropped from the URL first, so they can separate the pieces.
     """
@@ -23,26 +23,26 @@ def _pieces(url: Column) -> Column:
     return F.split(F.regexp_replace(clean, _URI, "$1\n$2\n$3\n$4\n$5"), "\n")
 
 
-def split_url(url: Column) -> Column:
+def split_pieces(pieces: Column) -> Column:
     """Struct of scheme (lower case), netloc, path, params, query, fragment.
 
-    Missing parts are empty strings; a NULL url gives a NULL struct.
+    Missing parts are empty strings.
     """
-    piece = _pieces(url)
-    raw_path = piece[2]
-    return F.when(
-        url.isNotNull(),
-        F.struct(
-            F.lower(piece[0]).alias("scheme"),
-            piece[1].alias("netloc"),
-            F.regexp_replace(raw_path, r";[^/]*\z", "").alias("path"),
-            F.regexp_extract(raw_path, r";([^/]*)\z", 1).alias("params"),
-            piece[3].alias("query"),
-            piece[4].alias("fragment"),
-        ),
+    return F.struct(
+        F.lower(pieces[0]).alias("scheme"),
+        pieces[1].alias("netloc"),
+        F.regexp_replace(pieces[2], r";[^/]*\z", "").alias("path"),
+        F.regexp_extract(pieces[2], r";([^/]*)\z", 1).alias("params"),
+        pieces[3].alias("query"),
+        pieces[4].alias("fragment"),
     )
 
 
+def split_url(url: Column) -> Column:
+    """``split_pieces`` of a URL; all fields are NULL for a NULL url."""
+    return split_pieces(url_pieces(url))
+
+
 def netloc_is_valid(netloc: Column) -> Column:
     """False where square brackets do not enclose an IP literal."""
     has_open, has_close = netloc.contains("["), netloc.contains("]")
@@ -103,15 +103,14 @@ def canonical_path(path: Column) -> Column:
 def join_canonical(parts: Column, pairs: Column) -> Column:
     """The canonical URL from ``split_url`` and ``query_pairs`` columns."""
     netloc = F.regexp_replace(F.lower(parts["netloc"]), r"^www\.", "")
-    path = canonical_path(parts["path"])
-    query = canonical_query(pairs)
-    has_authority = (netloc != "") | path.startswith("/")
-    return F.concat(
+    path = parts["path"]
+    has_authority = (netloc != "") | (path == "") | path.startswith("/")
+    page = F.concat(
         F.when(parts["scheme"] != "", F.concat(parts["scheme"], F.lit(":"))).otherwise(F.lit("")),
         F.when(has_authority, F.concat(F.lit("//"), netloc)).otherwise(F.lit("")),
-        path,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
+        canonical_path(path),
     )
+    return F.array_join(F.filter(F.array(page, canonical_query(pairs)), lambda p: p != ""), "?")
 
 
 def canonical_url(url: Column) -> Column:

@@ -188,9 +188,13 @@ def dictionary_entities(
     others = [c for c in df.columns if c != text]
 
     def runs(n: int) -> Column:
-        last = F.size("_words") - n + 1
-        starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice("_words", i, n), " "))
+        def from_word(word, at):
+            following = [F.get("_words", at + k) for k in range(1, n)]
+            return F.concat_ws(" ", word, *following)
+
+        # The last places have no run of this length.
+        whole = F.filter("_words", lambda _, at: at + n <= F.size("_words"))
+        return F.transform(whole, from_word)
 
     return (
         df.select(*others, words(F.col(text)).alias("_words"))

@@ -54,17 +54,18 @@ def screen_urls(df: DataFrame, url: str = "url", strict_pages: bool = False) ->
         extension = F.regexp_extract(path, r"(\.[^./]*)\z", 1)
         reason = reason.when(~extension.isin("", *PAGE_EXTENSIONS), "extension")
     return (
-        df.withColumn("_parts", U.split_url(F.col(url)))
+        df.withColumn("_pieces", U.url_pieces(F.col(url)))
+        .withColumn("_parts", U.split_pieces(F.col("_pieces")))
         .withColumn("_pairs", U.query_pairs(parts["query"]))
-        .withColumn("reject_reason", reason)
-        .withColumn(
-            "canonical_url",
+        .select(*df.columns, "_parts", "_pairs", reason.alias("reject_reason"))
+        .select(
+            *df.columns,
+            "reject_reason",
             F.when(
                 F.col("reject_reason").isNull() | (F.col("reject_reason") != "invalid_url"),
                 U.join_canonical(parts, pairs),
-            ),
+            ).alias("canonical_url"),
         )
-        .drop("_parts", "_pairs")
     )
 
 

@@ -144,6 +144,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def reload_collection(spark: SparkSession, path: str, existing: Store) -> tuple[Store, DataFrame]:
-    """Load a collection document into the store; the summary says what was inserted."""
-    return load_collection(existing, shared_table(read_collection(spark, path)))
+def reload_collection(
+    spark: SparkSession, path: str, existing: Store, multi_line: bool = True
+) -> tuple[Store, DataFrame]:
+    """Load collection documents into the store; the summary says what was inserted."""
+    return load_collection(existing, shared_table(read_collection(spark, path, multi_line)))

@@ -56,3 +56,13 @@ def shared_table(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A table scan with at least as many partitions as there are cores.
+
+    A few small files make few tasks, which starves the costly per-row steps. With enough
+    files or row groups, as on a cluster, the scan is left alone and nothing is shuffled.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

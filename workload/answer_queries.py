@@ -13,7 +13,7 @@ from pageloom.operators import responses as R
 from pageloom.operators.html import html_blocks, processed_html
 from pageloom.functions.text import prompt_text
 from pageloom.sources import tables
-from pageloom.session import shared_folder
+from pageloom.session import shared_folder, spread
 from workload import common as C
 from workload.html_queries import SQL_BLOCKS
 
@@ -134,12 +134,13 @@ def dictionary_entities(spark, sf):
         )
         .distinct()
     )
-    return A.dictionary_entities(C.table(spark, sf, "documents").select("doc_id", "text"), names)
+    documents = spread(C.table(spark, sf, "documents").select("doc_id", "text"))
+    return A.dictionary_entities(documents, names)
 
 
 def annotated_text_entities(spark, sf):
     """Names found in annotated text alone: the first two words of every ``h1``."""
-    parsed = html_blocks(C.pages(spark, sf), with_text=False)
+    parsed = html_blocks(C.spread_pages(spark, sf), with_text=False)
     found = A.rule_annotate(parsed).select("page_id", "pos", F.col("annotation.body.value").alias("text"))
     titles = (
         parsed.select(F.explode("blocks").alias("b"))
@@ -166,7 +167,7 @@ def _answer_model():
 
 def model_annotations(spark, sf):
     text = prompt_text(F.col("url"), processed_html(F.col("blocks")))
-    asked = html_blocks(C.pages(spark, sf)).select("page_id", text.alias("prompt"))
+    asked = html_blocks(C.spread_pages(spark, sf)).select("page_id", text.alias("prompt"))
     answered = A.annotate(asked, "prompt", _answer_model).drop("prompt")
     return R.annotations(R.parse_response(answered)).select(
         "page_id", F.col("annotation.id").alias("annotation_id"), F.col("annotation.body.value").alias("value")
@@ -245,14 +246,17 @@ _SHAPE = """case when kind in (0, 1) then 'typed' when kind = 2 then 'untyped' w
 
 def _runs(source: str, key: str, longest: int) -> str:
     """Distinct runs of 1 to ``longest`` words of a text column."""
+    following = ", ".join(
+        f"lead(word, {n}) over (partition by {key} order by i) as w{n}" for n in range(1, longest)
+    )
     parts = " union ".join(
-        f"select {key}, array_to_string(words[i:i + {n - 1}], ' ') as run from spread where i + {n - 1} <= len(words)"
+        f"select {key}, word" + "".join(f" || ' ' || w{m}" for m in range(1, n)) + " as run from spread"
         for n in range(1, longest + 1)
     )
-    return f"""spread as (
-      select {key}, words, unnest(range(1, len(words) + 1)) as i
+    return f"""listed_words as (
+      select {key}, unnest(words) as word, generate_subscripts(words, 1) as i
       from (select {key}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') as words from {source})
-    ), runs as ({parts})"""
+    ), spread as (select {key}, word, {following} from listed_words), runs as ({parts})"""
 
 
 ORACLES = {

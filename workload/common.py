@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.functions.names import annotation_slug, container_slug
 from pageloom.operators.responses import annotations, parse_response
 from pageloom.schemas import WARC_FIELDS
+from pageloom.session import spread
 
 COLLECTION_ID = "urn:uuid:collection-001"
 
@@ -20,6 +21,11 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages")
 
 
+def spread_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """``pages`` for the steps that parse HTML."""
+    return spread(pages(spark, sf))
+
+
 def host() -> Column:
     return F.regexp_extract("url", "//([^/?#]*)", 1)
 
