@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.operators.urls import first_seen, screen_urls, url_decision
+from pageloom.operators.urls import screen_urls, url_decision
 from pageloom.schemas import CHECKPOINT
 
 
@@ -15,7 +15,7 @@ def processed_urls(checkpoint: DataFrame) -> DataFrame:
 
 def unprocessed(df: DataFrame, processed: DataFrame, url: str = "url") -> DataFrame:
     """Rows whose URL, as written, no checkpoint record has."""
-    done = processed.select(F.col("url").alias(url)).distinct()
+    done = processed.select(F.col("url").alias(url))
     return df.join(done, url, "left_anti")
 
 
@@ -44,9 +44,9 @@ def resume_decision(
 
 
 def resume_pages(df: DataFrame, processed: DataFrame, url: str = "url", seq: str = "seq") -> DataFrame:
-    """The wide rows to work on after a restart."""
-    done = screen_urls(processed.select(F.col("url").alias(url)), url).where("reject_reason is null")
-    return first_seen(unprocessed(df, processed, url), url, seq, history=done)
+    """The wide rows to work on after a restart; they move once, by ``seq``."""
+    decided = resume_decision(df.select(seq, url), processed, url, seq)
+    return df.join(decided.where("accepted").select(seq, "canonical_url"), seq)
 
 
 def checkpoint_records(decided: DataFrame) -> DataFrame:

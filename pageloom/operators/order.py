@@ -9,47 +9,57 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_CHUNK = 1_000_000
+# The bounds are literals of the plan and a sample of them visits the driver.
+MAX_CHUNKS = 20_000
+SAMPLES_PER_CHUNK = 100
+
+
+def _bounds(df: DataFrame, seq: str, rows_per_chunk: int) -> list[int]:
+    rows = df.agg(F.count(seq)).first()[0]
+    chunks = min(math.ceil(rows / rows_per_chunk), MAX_CHUNKS)
+    if chunks <= 1:
+        return []
+    share = min(1.0, SAMPLES_PER_CHUNK * chunks / rows)
+    picked = df.select(seq).sample(share, seed=7) if share < 1 else df.select(seq)
+    sample = sorted(picked.toPandas()[seq].tolist())
+    cuts = [sample[len(sample) * i // chunks] for i in range(1, chunks)] if sample else []
+    return sorted(set(cuts))
 
 
 def order_chunk(df: DataFrame, seq: str = "seq", rows_per_chunk: int = ROWS_PER_CHUNK) -> Column:
     """A number per row that grows with ``seq`` and holds about ``rows_per_chunk`` rows.
 
-    One pass over ``seq`` alone reads the count and another the quantiles; the bounds,
-    one number per chunk, are literals from then on, so every later use of the column
-    cuts the rows at the same places. ``seq`` is a unique BIGINT.
+    Passes over ``seq`` alone read the row count and a small sample, from which the bounds
+    are cut as a range partitioner does. They are literals from then on, so every later
+    use of the column cuts the rows at the same places. ``seq`` is a unique BIGINT.
     """
-    rows = df.agg(F.count(seq)).first()[0]
-    chunks = math.ceil(rows / rows_per_chunk)
-    if chunks <= 1:
+    bounds = _bounds(df, seq, rows_per_chunk)
+    if not bounds:
         return F.lit(0)
-    fractions = [i / chunks for i in range(1, chunks)]
-    accuracy = max(10_000, 10 * chunks)
-    bounds = df.agg(F.percentile_approx(seq, fractions, accuracy)).first()[0]
     # Two short searches per row in place of one long one.
     width = math.isqrt(len(bounds)) + 1
     groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
     heads = F.from_json(F.lit(json.dumps([g[0] for g in groups])), "array<bigint>")
     table = F.from_json(F.lit(json.dumps(groups)), "array<array<bigint>>")
 
-    def below(values: Column) -> Column:
-        return F.size(F.filter(values, lambda b: b < F.col(seq)))
+    def reached(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b <= F.col(seq)))
 
-    group = below(heads)
-    inner = below(F.get(table, group - 1))
+    group = reached(heads)
+    inner = reached(F.get(table, group - 1))
     return F.when(group == 0, F.lit(0)).otherwise((group - 1) * F.lit(width) + inner)
 
 
-def number_rows(
-    df: DataFrame, output: str, seq: str = "seq", rows_per_chunk: int = ROWS_PER_CHUNK
-) -> DataFrame:
-    """Add 1, 2, 3 … in the order of ``seq``.
+def row_numbers(df: DataFrame, output: str, seq: str = "seq", rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """``(seq, output)``: 1, 2, 3 … in the order of ``seq``.
 
     Rows are numbered inside their chunk and shifted by the rows of the chunks before,
-    so no task sorts more than a chunk. ``df`` is read three times: pass a table.
+    so no task sorts more than a chunk of numbers.
     """
-    tagged = df.withColumn("_chunk", order_chunk(df, seq, rows_per_chunk))
+    narrow = df.select(seq)
+    tagged = narrow.withColumn("_chunk", order_chunk(narrow, seq, rows_per_chunk))
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per chunk.
+    # One row per chunk, of which there are at most MAX_CHUNKS.
     offsets = (
         tagged.groupBy("_chunk")
         .agg(F.count("*").alias("_rows"))
@@ -59,6 +69,15 @@ def number_rows(
     return (
         tagged.withColumn("_inside", inside)
         .join(F.broadcast(offsets), "_chunk")
-        .withColumn(output, F.col("_offset") + F.col("_inside"))
-        .drop("_chunk", "_inside", "_offset")
+        .select(seq, (F.col("_offset") + F.col("_inside")).alias(output))
     )
+
+
+def number_rows(
+    df: DataFrame, output: str, seq: str = "seq", rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
+    """Add ``row_numbers`` to the rows, which move once, by the evenly spread ``seq``.
+
+    ``df`` is read several times: let it come from a table.
+    """
+    return df.join(row_numbers(df, output, seq, rows_per_chunk), seq)

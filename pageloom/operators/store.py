@@ -13,8 +13,9 @@ from pageloom.functions.names import (
     container_slug,
     label_filename,
 )
-from pageloom.operators.order import ROWS_PER_CHUNK, order_chunk
+from pageloom.operators.order import number_rows
 from pageloom.operators.responses import STORE_KEYS, payload
+from pageloom.session import shared_table
 
 CONTAINER_CONTEXT = "http://iiif.io/api/presentation/3/context.json"
 DEFAULT_LABEL = "A Container for Web Annotations"
@@ -122,12 +123,15 @@ def container_exists(store: Store, slug: str) -> DataFrame:
 def get_container(store: Store, slug: str) -> DataFrame:
     """The container and its annotations, one row each, so that any size can be read.
 
-    A container without annotations gives one row with NULL for them.
+    A container without annotations gives one row with NULL for them. Slugs are unique, so
+    one row is broadcast to the annotations, which stay where they are.
     """
     mine = F.col("container_slug") == slug
-    return store.containers.where(mine).join(
-        store.annotations.where(mine), "container_slug", "left"
-    )
+    container = store.containers.where(mine).limit(1)
+    found = store.annotations.where(mine)
+    held = found.join(F.broadcast(container), "container_slug")
+    empty = container.join(found.select("container_slug").limit(1), "container_slug", "left_anti")
+    return held.unionByName(empty, allowMissingColumns=True)
 
 
 def collection_annotations(collections: DataFrame, prefix: str = CONTAINER_PREFIX) -> DataFrame:
@@ -161,13 +165,22 @@ def collection_containers(collections: DataFrame, prefix: str = CONTAINER_PREFIX
 
 
 def load_collection(
-    store: Store, collections: DataFrame, prefix: str = CONTAINER_PREFIX
+    store: Store,
+    collections: DataFrame,
+    prefix: str = CONTAINER_PREFIX,
+    write_decisions: bool = False,
 ) -> tuple[Store, DataFrame]:
-    """Load nested collections: the store after it and a summary row per container."""
+    """Load nested collections: the store after it and a summary row per container.
+
+    With ``write_decisions`` the store and the summary read one table of what is new; else
+    each works it out.
+    """
     created = collection_containers(collections, prefix)
     incoming = collection_annotations(collections, prefix)
     cleared = replace_containers(store, created)
     decisions = upsert_decisions(incoming, cleared.annotations, ("part", "seq", "pos"))
+    if write_decisions:
+        decisions = shared_table(decisions)
     inserted = decisions.where("is_new").select(*KEYS, "payload")
     return (
         Store(cleared.containers, cleared.annotations.unionByName(inserted)),
@@ -203,17 +216,19 @@ def assemble_collection(
     label: Column,
     collection_id: Column,
     seq: str = "seq",
-    pages_per_part: int = ROWS_PER_CHUNK // 100,
+    pages_per_part: int = 10_000,
 ) -> DataFrame:
     """Nested collection documents from pages with ``page_id`` and ``items ARRAY<STRING>``.
 
     A collection of many pages comes in several parts with the same id and label, each of
-    about ``pages_per_part`` pages at most, so no group grows with the data. The loader
-    takes the parts of a collection together.
+    ``pages_per_part`` pages at most, so no group grows with the data. The loader takes
+    the parts of a collection together.
     """
     page = F.struct(F.col(seq).alias("seq"), F.struct(F.col("page_id").alias("id"), "items").alias("page"))
+    part = F.floor((F.col("_number") - 1) / pages_per_part).cast("int")
     return (
-        pages.withColumn("part", order_chunk(pages, seq, pages_per_part))
+        number_rows(pages, "_number", seq)
+        .withColumn("part", part)
         .withColumn("id", collection_id)
         .withColumn("label", label)
         .groupBy("id", "label", "part")

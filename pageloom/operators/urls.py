@@ -117,7 +117,7 @@ def first_seen(
     narrow = passed.select(seq, "canonical_url")
     fresh = narrow
     if history is not None:
-        seen = history.select("canonical_url").where("canonical_url is not null").distinct()
+        seen = history.select("canonical_url")
         fresh = narrow.join(seen, "canonical_url", "left_anti")
     repeats = narrow.select(seq).join(_winners(fresh, seq), seq, "left_anti")
     if write_repeats:

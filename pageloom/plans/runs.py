@@ -148,4 +148,5 @@ def reload_collection(
     spark: SparkSession, path: str, existing: Store, multi_line: bool = True
 ) -> tuple[Store, DataFrame]:
     """Load collection documents into the store; the summary says what was inserted."""
-    return load_collection(existing, shared_table(read_collection(spark, path, multi_line)))
+    collections = shared_table(read_collection(spark, path, multi_line))
+    return load_collection(existing, collections, write_decisions=True)

@@ -44,7 +44,15 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="pageloom-")
-    return f"{root.rstrip('/')}/pageloom/{uuid.uuid4().hex}"
+    return qualified(spark, f"{root.rstrip('/')}/pageloom/{uuid.uuid4().hex}")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system that Spark takes it to be on."""
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = found.getFileSystem(context._jsc.hadoopConfiguration())
+    return found.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
 
 
 def shared_table(df: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -11,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from pageloom.session import qualified
 from pageloom.sources.warc_records import is_html, read_records
 
 SUFFIXES = (".warc.gz", ".warc")
@@ -25,15 +25,15 @@ BATCH_BYTES = 16 << 20
 BATCH_ROWS = 1000
 
 
-def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), os.path.abspath(path)
+def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), path.removeprefix("file:").replace("///", "/", 1)
+    return pafs.FileSystem.from_uri(path)
 
 
 def list_archives(path: str) -> list[tuple[str, int]]:
     """Archive files in a folder, or the file itself, with their sizes, by name."""
-    files, local = _filesystem(path)
+    files, local = open_folder(path)
     info = files.get_file_info(local)
     found = [info] if info.is_file else files.get_file_info(pafs.FileSelector(local))
     prefix = path.rstrip("/").rsplit("/", 1)[0] if info.is_file else path.rstrip("/")
@@ -73,7 +73,7 @@ class WarcReader(DataSourceReader):
 
     def read(self, partition: ArchiveRange) -> Iterator[pa.RecordBatch]:
         name = partition.path.rsplit("/", 1)[-1]
-        files, local = _filesystem(partition.path)
+        files, local = open_folder(partition.path)
         rows: list = []
         held = 0
         with files.open_input_file(local) as file:
@@ -142,9 +142,10 @@ def read_warc(
     One task per file or per ``split_bytes`` of a larger one.
     """
     spark.dataSource.register(WarcSource)
+    paths = [path] if isinstance(path, str) else list(path)
     return (
         spark.read.format("warc")
-        .option("path", path if isinstance(path, str) else "\n".join(path))
+        .option("path", "\n".join(qualified(spark, p) for p in paths))
         .option("content", content)
         .option("recordTypes", ",".join(record_types))
         .option("splitBytes", str(split_bytes))

@@ -6,10 +6,11 @@ import zlib
 from itertools import chain
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from pageloom.sources.warc import open_folder
+
 
 def gzip_member(data: bytes) -> bytes:
     squeeze = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -48,14 +49,13 @@ def page_records(number: int, url: str, html: str) -> bytes:
 
 def write_archives(pages: DataFrame, folder: str) -> str:
     """One archive per partition, written by its task, whole or again under the same name."""
-    uri = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
 
     def write(batches):
         rows = (row for batch in batches for row in batch.to_pylist())
         first = next(rows, None)
         if first is None:
             return
-        files, local = pafs.FileSystem.from_uri(uri)
+        files, local = open_folder(folder)
         files.create_dir(local, recursive=True)
         name = f"rec-one-20260101000000000-{TaskContext.get().partitionId()}.warc.gz"
         count = 0
