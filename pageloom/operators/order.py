@@ -35,7 +35,8 @@ def order_chunk(df: DataFrame, seq: str = "seq", rows_per_chunk: int = ROWS_PER_
     """
     bounds = _bounds(df, seq, rows_per_chunk)
     if not bounds:
-        return F.lit(0)
+        # Not a literal: a constant key would turn a join on it into a product.
+        return F.when(F.col(seq).isNull(), -1).otherwise(0)
     # Two short searches per row in place of one long one.
     width = math.isqrt(len(bounds)) + 1
     groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]

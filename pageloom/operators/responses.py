@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.operators.annotate import ANNOTATION_CONTEXT
+from pageloom.operators.columns import with_computed
 from pageloom.operators.order import ROWS_PER_CHUNK, number_rows
 
 # Keys that the store sets by itself.
@@ -37,15 +38,14 @@ def parse_response(df: DataFrame, response: str = "response") -> DataFrame:
         .when(typed, "typed")
         .otherwise("untyped")
     )
-    return (
-        df.withColumn("_answer", F.try_parse_json(response))
-        .withColumn("_kind", F.schema_of_variant("_answer"))
-        .withColumn("page", F.try_variant_get(answer, "$.annotationPage", "variant"))
-        .withColumn("items", F.coalesce(_array(page, "$"), _array(page, "$.items")))
-        .withColumn("entities", _array(answer, "$.entities"))
-        .withColumn("shape", shape)
-        .drop("_answer", "_kind", response)
+    read = with_computed(df, _answer=F.try_parse_json(response))
+    taken = with_computed(
+        read.withColumn("page", F.try_variant_get(answer, "$.annotationPage", "variant")),
+        _kind=F.schema_of_variant(answer),
+        items=F.coalesce(_array(page, "$"), _array(page, "$.items")),
+        entities=_array(answer, "$.entities"),
     )
+    return taken.withColumn("shape", shape).drop("_answer", "_kind", response)
 
 
 def malformed(parsed: DataFrame) -> DataFrame:
@@ -85,13 +85,13 @@ def annotations(parsed: DataFrame) -> DataFrame:
     return (
         parsed.where("shape in ('typed', 'untyped', 'list')")
         .select(*others, F.posexplode("items").alias("pos", "_item"))
+        .where(_text(F.col("_item"), "$.id").isNotNull())
         .select(
             *others,
             "pos",
             annotation_struct(F.col("_item")).alias("annotation"),
             payload(F.col("_item")).alias("payload"),
         )
-        .where("annotation.id is not null")
     )
 
 

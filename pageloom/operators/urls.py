@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import urls as U
+from pageloom.operators.columns import with_computed
 from pageloom.session import shared_table
 
 # Hosts of link shorteners, compared with the whole authority.
@@ -53,19 +54,19 @@ def screen_urls(df: DataFrame, url: str = "url", strict_pages: bool = False) ->
     if strict_pages:
         extension = F.regexp_extract(path, r"(\.[^./]*)\z", 1)
         reason = reason.when(~extension.isin("", *PAGE_EXTENSIONS), "extension")
-    return (
-        df.withColumn("_pieces", U.url_pieces(F.col(url)))
-        .withColumn("_parts", U.split_pieces(F.col("_pieces")))
-        .withColumn("_pairs", U.query_pairs(parts["query"]))
-        .select(*df.columns, "_parts", "_pairs", reason.alias("reject_reason"))
-        .select(
-            *df.columns,
-            "reject_reason",
-            F.when(
-                F.col("reject_reason").isNull() | (F.col("reject_reason") != "invalid_url"),
-                U.join_canonical(parts, pairs),
-            ).alias("canonical_url"),
-        )
+    pieces = df.withColumn("_pieces", U.url_pieces(F.col(url)))
+    split = with_computed(
+        pieces,
+        _parts=U.split_pieces(F.col("_pieces")),
+        _pairs=U.query_pairs(F.col("_pieces")[3]),
+    )
+    return split.select(*df.columns, "_parts", "_pairs", reason.alias("reject_reason")).select(
+        *df.columns,
+        "reject_reason",
+        F.when(
+            F.col("reject_reason").isNull() | (F.col("reject_reason") != "invalid_url"),
+            U.join_canonical(parts, pairs),
+        ).alias("canonical_url"),
     )
 
 
