@@ -275,7 +275,7 @@ ORACLES = {
         from base where kind < 4""",
     "page_numbers": f"""{_PAGES} select page_id, row_number() over (order by page_id) as page_number
         from base where kind < 4""",
-    "annotations": f"""{_ANNOTATIONS} select page_id, i.pos, i.id as annotation_id, a.value, a.url as source, payload
+    "annotations": f"""{_ANNOTATIONS} select page_id, i.pos, i.id as annotation_id, a.value, i.url as source, payload
         from incoming i join annotations a using (page_id, pos)""",
     "entities": f"{_ENTITIES} {_FLAT}",
     "entities_by_type": f"{_ENTITIES} {_FLAT} where type = 'organization'",

@@ -89,6 +89,7 @@ def incoming(spark: SparkSession, sf: str) -> DataFrame:
     return annotations(parsed(spark, sf)).select(
         "page_id",
         "pos",
+        "url",
         container_slug(F.lit(COLLECTION_ID), F.col("warc.warc_filename")).alias("container_slug"),
         annotation_slug(F.col("annotation.id")).alias("annotation_slug"),
         "payload",
@@ -116,7 +117,7 @@ annotations as (
   from base where kind in (0, 1)
 ),
 incoming as (
-  select page_id, pos, id, 'crawl-' || replace(warc_filename, '.warc.gz', '') as container_slug,
+  select page_id, pos, id, url, 'crawl-' || replace(warc_filename, '.warc.gz', '') as container_slug,
          case when starts_with(id, 'urn:sha256:') then substr(id, 12) else sha256(id) end as annotation_slug,
          '{"@context":"http://www.w3.org/ns/anno.jsonld","body":{"type":"TextualBody","value":"' || value
          || '"},"note":7,"target":{"source":"' || url || '"},"type":"Annotation"}' as payload

@@ -70,8 +70,8 @@ def token_state(spark, sf):
 
 
 def _existing(spark, sf):
-    """Every annotation of an even page is in the store already."""
-    return C.incoming(spark, sf).where("page_id % 2 = 0").select(*S.KEYS, "payload")
+    """The annotations of the https pages are in the store already."""
+    return C.incoming(spark, sf).where(F.col("url").startswith("https:")).select(*S.KEYS, "payload")
 
 
 def _containers(spark, sf):
@@ -86,7 +86,7 @@ def _store(spark, sf):
 
 def _doubled(spark, sf):
     """Every annotation comes twice, as from two crawls of a page."""
-    once = C.incoming(spark, sf)
+    once = C.incoming(spark, sf).drop("url")
     return once.unionByName(once.withColumn("page_id", F.col("page_id") + 1_000_000))
 
 
@@ -179,7 +179,8 @@ def collection_files(spark, sf):
 
 
 def _processed(spark, sf):
-    return C.pages(spark, sf).where("page_id % 3 = 0").select("url")
+    """The plain http pages were done before the stop."""
+    return C.pages(spark, sf).select("url").where(F.col("url").startswith("http:"))
 
 
 def resume_unprocessed(spark, sf):
@@ -234,11 +235,11 @@ def crawl_run_summary(spark, sf):
 
 
 def resume_run(spark, sf):
-    """A resumable run that was stopped after a third of the pages."""
+    """A resumable run that was stopped after the plain http pages."""
     folder = shared_folder(spark)
     choose = ~F.col("url").contains("/de/")
     pages = _crawl_pages(spark, sf)
-    runs.resume_crawl(spark, pages.where("seq % 3 = 0"), folder, choose)
+    runs.resume_crawl(spark, pages.where(F.col("url").startswith("http:")), folder, choose)
     runs.resume_crawl(spark, pages, folder, choose)
     return tables.read_checkpoint(spark, folder).select(
         "url", "heuristic_decision", "llm_decision", F.col("processed_html").isNotNull().alias("processed"),
@@ -376,10 +377,10 @@ def _fold(budget: int, shard: str) -> str:
     )"""
 
 
-_EXISTING = f"with {C.SQL_ANNOTATIONS}, existing as (select * from incoming where page_id % 2 = 0)"
+_EXISTING = f"with {C.SQL_ANNOTATIONS}, existing as (select * from incoming where starts_with(url, 'https:'))"
 _COUNTS = """counts as (
-  select container_slug, count(*) filter (where page_id % 2 = 1) as annotations_uploaded,
-    2 * count(*) - count(*) filter (where page_id % 2 = 1) as annotations_skipped
+  select container_slug, count(*) filter (where starts_with(url, 'http:')) as annotations_uploaded,
+    2 * count(*) - count(*) filter (where starts_with(url, 'http:')) as annotations_skipped
   from incoming group by 1)"""
 _COLLECTIONS = f"""with {C.SQL_ANNOTATIONS}, members as (
   select page_id, kind, warc_filename, row_number() over (partition by warc_filename order by page_id) - 1 as nr,
@@ -394,9 +395,9 @@ _RECORDS = f"""with {SQL_CANONICAL}, choices as (
   select url, {{html}} ok as heuristic_decision, case when ok then choice end as llm_decision,
     case when ok and choice = 'archive' then 'text of ' || url end as processed_html,
     case when ok and choice = 'archive' then 'answer for ' || url end as generated_annotation from choices"""
-_LEFT = f"""with {SQL_CANONICAL}, done as (select canonical_url from screened where page_id % 3 = 0 and row_reason is null),
+_LEFT = f"""with {SQL_CANONICAL}, done as (select canonical_url from screened where starts_with(url, 'http:') and row_reason is null),
   work as (select *, row_number() over (partition by canonical_url, row_reason order by page_id) as nr
-    from screened where page_id % 3 <> 0),
+    from screened where starts_with(url, 'https:')),
   judged as (select page_id, url, canonical_url, case when row_reason is not null then row_reason
     when nr > 1 or ({{seen}} and canonical_url in (select canonical_url from done)) then 'duplicate' end as reject_reason from work)"""
 _JUDGED = "select page_id, url, canonical_url, reject_reason, reject_reason is null as accepted from judged"
@@ -409,7 +410,7 @@ ORACLES = {
         select seq, own as batch, shard::varchar as shard from fold where nr > 0""",
     "token_state": f"{_fold(BUDGET, '0')} select used as token_count, batch from fold order by nr desc limit 1",
     "annotation_upsert": f"""{_EXISTING} select page_id, pos, container_slug, annotation_slug, payload
-        from incoming where page_id % 2 = 1""",
+        from incoming where starts_with(url, 'http:')""",
     "upsert_counts": f"{_EXISTING}, {_COUNTS} select * from counts",
     "upload_summary": f"{_EXISTING}, {_COUNTS} select *, true as container_created, 0::bigint as errors from counts",
     "replace_container": f"""{_EXISTING} select s.container_slug,
@@ -435,7 +436,7 @@ ORACLES = {
     "load_collection": f"""{_EXISTING} select container_slug, true as container_created,
         count(*) as annotations_uploaded, 0::bigint as annotations_skipped, 0::bigint as errors from incoming group by 1""",
     "collection_files": f"select container_slug, annotation_slug, payload from ({_FLATTENED})",
-    "resume_unprocessed": "select page_id, url from pages where page_id % 3 <> 0",
+    "resume_unprocessed": "select page_id, url from pages where starts_with(url, 'https:')",
     "resume_decision": _LEFT.format(seen="true") + _JUDGED,
     "resume_decision_compat": _LEFT.format(seen="false") + _JUDGED,
     "checkpoint_records": _RECORDS.format(html="html,"),
@@ -452,7 +453,7 @@ ORACLES = {
           count(*) - count(distinct annotation_id) as annotations_skipped from found""",
     "resume_run": f"""with {SQL_CANONICAL}, ordered as (
           select page_id, url, row_reason, row_number() over (partition by canonical_url, row_reason
-            order by (page_id % 3 = 0)::int desc, page_id) as nr from screened),
+            order by starts_with(url, 'http:')::int desc, page_id) as nr from screened),
         judged as (select page_id, url, row_reason is null and nr = 1 as ok, not contains(url, '/de/') as chosen from ordered)
         select j.url, ok as heuristic_decision,
           case when ok then case when chosen then 'archive' else 'skip' end end as llm_decision,
