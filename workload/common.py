@@ -26,58 +26,58 @@ def spread_pages(spark: SparkSession, sf: str) -> DataFrame:
     return spread(pages(spark, sf))
 
 
-def host() -> Column:
-    return F.regexp_extract("url", "//([^/?#]*)", 1)
+_WARC_VALUES = {
+    "warc_filename": "concat('rec-one-20260101000000000-', page_id % 4, '.warc.gz')",
+    "warc_date": "'2026-01-01T00:00:00Z'",
+    "warc_record_id": "concat('<urn:uuid:', page_id, '>')",
+}
+_WARC = ", ".join(f"'{n}', cast({_WARC_VALUES.get(n, 'null')} as string)" for n in WARC_FIELDS)
 
 
 def warc() -> Column:
-    values = {
-        "warc_filename": F.concat(
-            F.lit("rec-one-20260101000000000-"), (F.col("page_id") % 4).cast("string"), F.lit(".warc.gz")
-        ),
-        "warc_date": F.lit("2026-01-01T00:00:00Z"),
-        "warc_record_id": F.concat(F.lit("<urn:uuid:"), F.col("page_id").cast("string"), F.lit(">")),
-    }
-    return F.struct(*[values.get(n, F.lit(None).cast("string")).alias(n) for n in WARC_FIELDS])
+    return F.expr(f"named_struct({_WARC})")
 
 
-def _annotation(identifier: Column, value: Column) -> Column:
-    return F.concat(
-        F.lit('{"@context":"http://www.w3.org/ns/anno.jsonld","id":"'), identifier,
-        F.lit('","type":"Annotation","created":"2026","note":7,"body":{"type":"TextualBody","value":"'),
-        value, F.lit('"},"target":{"source":"'), F.col("url"), F.lit('"}}'),
-    )
-
-
-def _entity(name: Column, kind: str) -> Column:
-    return F.concat(F.lit('{"name":"'), name, F.lit(f'","type":"{kind}","context":"c"}}'))
+# The kind of answer goes by page_id % 7; four of the seven have annotations.
+_ANSWERS = """
+with named as (
+  select page_id, url, page_id % 7 as kind, regexp_extract(url, '//([^/?#]*)', 1) as host
+  from parquet.`PAGES`
+),
+parts as (
+  select *,
+    concat(HEAD, 'urn:sha256:', sha2(url, 256), BODY, url, TARGET, url, '"}}') as a0,
+    concat(HEAD, 'urn:x:', page_id, BODY, 'page ', page_id, TARGET, url, '"}}') as a1,
+    concat('{"name":"', host, '","type":"organization","context":"c"}') as e0,
+    concat('{"name":"', upper(host), '","type":"location","context":"c"}') as e1
+  from named
+)
+select page_id, url, case kind
+  when 0 then concat('{"annotationPage":{"type":"AnnotationPage","items":[', a0, ',', a1,
+    ']},"entities":[', e0, ',', e1, ']}')
+  when 1 then concat('{"annotationPage":{"type":"AnnotationPage","id":"urn:own:', page_id, '","items":[',
+    a0, ',', a1, ']},"entities":[', e0, ',', e1, ']}')
+  when 2 then concat('{"annotationPage":{"items":[', a0, ']},"entities":[', e0, ']}')
+  when 3 then concat('{"annotationPage":[', a0, ',{"type":"Annotation"}],"entities":[]}')
+  when 4 then '{"annotationPage":{"type":"AnnotationPage","items":[]},"entities":[]}'
+  when 5 then concat('{"entities":[', e1, ']}')
+  else '{bad' end as response, named_struct(WARC) as warc
+from parts
+"""
+_PIECES = {
+    "HEAD": """'{"@context":"http://www.w3.org/ns/anno.jsonld","id":"'""",
+    "BODY": """'","type":"Annotation","created":"2026","note":7,"body":{"type":"TextualBody","value":"'""",
+    "TARGET": """'"},"target":{"source":"'""",
+    "WARC": _WARC,
+}
 
 
 def responses(spark: SparkSession, sf: str) -> DataFrame:
-    """A model answer per page; the kind of answer goes by ``page_id % 7``."""
-    number = F.col("page_id").cast("string")
-    a0 = _annotation(F.concat(F.lit("urn:sha256:"), F.sha2("url", 256)), F.col("url"))
-    a1 = _annotation(F.concat(F.lit("urn:x:"), number), F.concat(F.lit("page "), number))
-    e0, e1 = _entity(host(), "organization"), _entity(F.upper(host()), "location")
-
-    def text(*parts):
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-    typed = '{"annotationPage":{"type":"AnnotationPage",'
-    kind = F.col("page_id") % 7
-    answer = (
-        F.when(kind == 0, text(typed, '"items":[', a0, ",", a1, ']},"entities":[', e0, ",", e1, "]}"))
-        .when(
-            kind == 1,
-            text(typed, '"id":"urn:own:', number, '","items":[', a0, ",", a1, ']},"entities":[', e0, ",", e1, "]}"),
-        )
-        .when(kind == 2, text('{"annotationPage":{"items":[', a0, ']},"entities":[', e0, "]}"))
-        .when(kind == 3, text('{"annotationPage":[', a0, ',{"type":"Annotation"}],"entities":[]}'))
-        .when(kind == 4, text(typed, '"items":[]},"entities":[]}'))
-        .when(kind == 5, text('{"entities":[', e1, "]}"))
-        .otherwise(F.lit("{bad"))
-    )
-    return pages(spark, sf).select("page_id", "url", answer.alias("response"), warc().alias("warc"))
+    """A model answer per page."""
+    text = _ANSWERS.replace("PAGES", f"{sf}/pages.parquet")
+    for name, piece in _PIECES.items():
+        text = text.replace(name, piece)
+    return spark.sql(text)
 
 
 def parsed(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,7 +98,7 @@ def incoming(spark: SparkSession, sf: str) -> DataFrame:
 
 ORDER = ("page_id", "pos")
 
-# The same inputs for the SQL side, computed from page_id % 7.
+# The same inputs for the SQL side.
 SQL_PAGES = """
 base as (
   select page_id, url, html, page_id % 7 as kind, regexp_extract(url, '//([^/?#]*)', 1) as host,
