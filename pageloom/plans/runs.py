@@ -27,6 +27,7 @@ from pageloom.operators.summary import run_summary
 from pageloom.operators.urls import first_seen
 from pageloom.session import shared_table
 from pageloom.sources.tables import append_checkpoint, read_checkpoint, read_collection
+from pageloom.sources.warc import html_responses, read_warc
 
 Model = Callable[[], Callable[[list[str]], Sequence[str | None]]]
 
@@ -38,12 +39,22 @@ class CrawlResult(NamedTuple):
     summary: DataFrame
 
 
+def ingest(spark: SparkSession, archives: str | Sequence[str], output: str) -> DataFrame:
+    """HTML responses of archives as a Parquet table ``(seq, url, html, warc)``.
+
+    The steps of a run read the URL columns and the pages apart. An archive can only be
+    read whole, so each would inflate all of it; a table is read by column.
+    """
+    html_responses(read_warc(spark, archives, record_types=("response",))).write.parquet(output)
+    return spark.read.parquet(output)
+
+
 def page_annotations(pages: DataFrame, url: str = "url", seq: str = "seq") -> DataFrame:
     """Rule annotations of the accepted pages: screen, dedup, blocks, rules.
 
     URL columns are judged before any page is parsed, and only ``own_text`` is built.
     """
-    accepted = first_seen(pages, url, seq)
+    accepted = first_seen(pages, url, seq, write_repeats=True)
     return A.rule_annotate(html_blocks(accepted, with_text=False), url)
 
 
@@ -66,7 +77,7 @@ def annotate_crawl(
     title: str,
     model: Model | None = None,
 ) -> CrawlResult:
-    """Pages ``(seq, url, html, warc)`` to entities and stored annotations.
+    """Pages ``(seq, url, html, warc)`` of a table to entities and stored annotations.
 
     The answers go through a table, since a model must not be asked again by each of the
     steps that read them.
@@ -104,10 +115,11 @@ def resume_crawl(
 
     Returns the new records. Rejected URLs get one as well.
     """
-    done = shared_table(processed_urls(read_checkpoint(spark, checkpoint))) if _exists(
-        spark, checkpoint
-    ) else spark.createDataFrame([], "url string")
-    decided = resume_decision(pages.select("seq", "url"), done, compat=compat)
+    if _exists(spark, checkpoint):
+        done = shared_table(processed_urls(read_checkpoint(spark, checkpoint)))
+    else:
+        done = spark.createDataFrame([], "url string")
+    decided = shared_table(resume_decision(pages.select("seq", "url"), done, compat=compat))
     chosen = A.classify(decided.where("accepted"), decide)
     labels = shared_table(
         decided.where("not accepted")

@@ -83,6 +83,18 @@ def test_page_annotations(spark, pages):
     assert sorted(r.seq for r in found) == [0, 2]
 
 
+def test_ingest_then_annotate(spark, tmp_path):
+    from workload.archives import gzip_member, page_records
+
+    data = b"".join(page_records(k, u, f"<p>{TEXT} Page {k}.") for k, u in enumerate(URLS))
+    (tmp_path / "rec-2.warc.gz").write_bytes(gzip_member(b"WARC/1.0\r\nWARC-Type: warcinfo\r\n\r\n\r\n") + data)
+    table = runs.ingest(spark, str(tmp_path), str(tmp_path / "table"))
+    assert table.count() == 5
+    result = runs.annotate_crawl(table, empty_store(spark), "urn:c", "T")
+    assert result.summary.first().annotations_uploaded == 3
+    assert [r.container_slug for r in result.store.containers.collect()] == ["crawl-rec-2"]
+
+
 def test_observed_counters(spark):
     from pyspark.sql import Observation
 

@@ -136,13 +136,13 @@ def _collections(spark, sf):
     """A collection per archive file, of the pages that have annotations."""
     made = annotation_pages(C.parsed(spark, sf), C.COLLECTION_ID, GENERATOR, seq="page_id")
     nested = made.select(
-        "page_id",
-        F.col("annotation_page.id").alias("page_id_text"),
+        F.col("page_id").alias("seq"),
+        F.col("annotation_page.id").alias("page_id"),
         F.col("items_json").alias("items"),
         F.col("warc.warc_filename").alias("name"),
     )
     return S.assemble_collection(
-        nested.withColumnRenamed("page_id", "seq").withColumnRenamed("page_id_text", "page_id"),
+        shared_table(nested),
         F.concat(F.lit("Set - "), F.col("name")),
         F.concat(F.lit("urn:c:"), F.col("name")),
     )
