@@ -383,7 +383,7 @@ _COUNTS = """counts as (
     2 * count(*) - count(*) filter (where starts_with(url, 'http:')) as annotations_skipped
   from incoming group by 1)"""
 _COLLECTIONS = f"""with {C.SQL_ANNOTATIONS}, members as (
-  select page_id, kind, warc_filename, row_number() over (partition by warc_filename order by page_id) - 1 as nr,
+  select page_id, kind, warc_filename, (row_number() over (partition by warc_filename order by page_id) - 1)::integer as nr,
     row_number() over (order by page_id) as page_number, case when kind = 2 then 1 else 2 end as n
   from base where kind < 4)"""
 _FLATTENED = f"""{_COLLECTIONS} select container_slug, annotation_slug, payload, nr as seq, i.pos
@@ -431,7 +431,7 @@ ORACLES = {
         nr, case when kind = 1 then 'urn:own:' || page_id else 'urn:uuid:page-' || page_number end as annotation_page_id,
         n as annotations from members""",
     "collection_stats": f"""{_COLLECTIONS} select 'urn:c:' || warc_filename as id, 'Set - ' || warc_filename as label,
-        count(*) as pages, sum(n)::bigint as annotations from members group by warc_filename""",
+        count(*)::integer as pages, sum(n)::integer as annotations from members group by warc_filename""",
     "collection_flatten": _FLATTENED,
     "load_collection": f"""{_EXISTING} select container_slug, true as container_created,
         count(*) as annotations_uploaded, 0::bigint as annotations_skipped, 0::bigint as errors from incoming group by 1""",
