@@ -188,13 +188,15 @@ def dictionary_entities(
     others = [c for c in df.columns if c != text]
 
     def runs(n: int) -> Column:
+        if n == 1:
+            return F.col("_words")
+
         def from_word(word, at):
-            following = [F.get("_words", at + k) for k in range(1, n)]
-            return F.concat_ws(" ", word, *following)
+            # The last places have no run of this length: NULL, which meets no name.
+            following = [c for k in range(1, n) for c in (F.lit(" "), F.get("_words", at + k))]
+            return F.concat(word, *following)
 
-        # The last places have no run of this length.
-        whole = F.filter("_words", lambda _, at: at + n <= F.size("_words"))
-        return F.transform(whole, from_word)
+        return F.transform("_words", from_word)
 
     return (
         df.select(*others, words(F.col(text)).alias("_words"))
