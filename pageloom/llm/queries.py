@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import sentencepiece_bpe, url_filter
+from pageloom.llm import sentencepiece_bpe, simhash, url_filter
 from pageloom.llm.tables import table
 
 
+def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents", "doc_id", "text"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     """Number and digest of the ids of every document, and digest of the decoded text."""
     import public_tokenizers
@@ -58,6 +62,7 @@ from parts p left join fits f on f.page_id = p.page_id and f.nr = 1
 """
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op6_sentencepiece": op6_sentencepiece,
     "op9_url_filter": op9_url_filter,
 }
