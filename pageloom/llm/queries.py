@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import sentencepiece_bpe, simhash, url_filter
+from pageloom.llm import sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, url_filter
 from pageloom.llm.tables import table
 
 
@@ -13,6 +13,22 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents", "doc_id", "text"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without its repeated windows of 20 words."""
+    kept = substring_dedup.without_repeats(table(spark, sf, "documents", "doc_id", "text"))
+    return kept.select(
+        "doc_id", F.col("n_tokens").alias("n_words"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op3_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without its repeated strings of 50 bytes."""
+    kept = suffix_array_dedup.without_repeats(table(spark, sf, "documents", "doc_id", "text"))
+    return kept.select(
+        "doc_id", F.col("n_tokens").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     """Number and digest of the ids of every document, and digest of the decoded text."""
     import public_tokenizers
@@ -63,6 +79,8 @@ from parts p left join fits f on f.page_id = p.page_id and f.nr = 1
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op9_url_filter": op9_url_filter,
 }
