@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, url_filter
+from pageloom.llm import language_id, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, url_filter
 from pageloom.llm.tables import table
 
 
@@ -52,6 +52,18 @@ URL_RULES = (
 )
 
 
+def _held_out(key: str = "doc_id"):
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2
+
+
+def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Learned from the documents that are not held out, predicted for all."""
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang")
+    model = language_id.learned(docs.where(~F.coalesce(_held_out(), F.lit(False))))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf, "pages", "page_id", "url"), URL_RULES)
 
@@ -82,6 +94,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op6_sentencepiece": op6_sentencepiece,
+    "op8_language_id": op8_language_id,
     "op9_url_filter": op9_url_filter,
 }
 ORACLES = {
