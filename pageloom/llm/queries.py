@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import language_id, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, url_filter
+from pageloom.llm import decontamination, language_id, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, url_filter
 from pageloom.llm.tables import table
 
 
@@ -68,6 +68,11 @@ def op9_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf, "pages", "page_id", "url"), URL_RULES)
 
 
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that overlap with benchmark items."""
+    return decontamination.leaks(table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark", "item_id", "text"))
+
+
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 OP9_SQL = f"""
 with rules(verdict, rule_host, rule_path) as (values {_RULE_ROWS}),
@@ -96,6 +101,7 @@ QUERIES = {
     "op6_sentencepiece": op6_sentencepiece,
     "op8_language_id": op8_language_id,
     "op9_url_filter": op9_url_filter,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLES = {
     "op9_url_filter": OP9_SQL,
