@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import decontamination, language_id, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, url_filter
+from pageloom.llm import decontamination, embedding_dedup, language_id, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, url_filter
 from pageloom.llm.tables import table
 
 
@@ -29,6 +29,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     """Number and digest of the ids of every document, and digest of the decoded text."""
     import public_tokenizers
@@ -98,6 +102,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_language_id": op8_language_id,
     "op9_url_filter": op9_url_filter,
