@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import decontamination, embedding_dedup, language_id, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, url_filter
+from pageloom.llm import decontamination, embedding_dedup, language_id, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, token_counts, url_filter, warc_fixity
 from pageloom.llm.tables import table
+from pageloom.session import shared_table
 
 
 def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,6 +30,16 @@ def op3_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as flat token files, counted by a scan for the separators."""
+    import public_tokenizers
+
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    files = shared_table(token_counts.token_files(docs, ranks, public_tokenizers.PATTERN))
+    return token_counts.document_counts(files).select(F.col("key").alias("doc_id"), "n_tokens")
+
+
 def op5_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf, "embeddings", "vec_id", "embedding", "label"))
 
@@ -60,6 +71,29 @@ def _held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2
 
 
+def _archive(pages: DataFrame) -> DataFrame:
+    """Pages as WARC records, a thousand page numbers to a file."""
+    record = warc_fixity.response_record(
+        F.col("url"), F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">")), F.lit("2026-01-01T00:00:00Z"), F.col("html")
+    )
+    file = F.concat(F.lit("pages-"), F.expr("page_id div 1000").cast("string"), F.lit(".warc"))
+    records = pages.select("page_id", "url", file.alias("file"), record.alias("record")).withColumn("length", F.octet_length("record"))
+    return warc_fixity.laid_out(warc_fixity.hashed(records), "page_id")
+
+
+def op7_warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
+    """Where a replica of the pages' archive differs: some pages have a byte changed, some are gone."""
+    pages = table(spark, sf, "pages", "page_id", "url", "html")
+    ours = shared_table(_archive(pages))
+    mark = F.crc32(F.col("url").cast("binary"))
+    broken = pages.withColumn("html", F.when(mark % 97 == 0, F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
+    theirs = _archive(broken).where(F.coalesce(F.crc32(F.col("url").cast("binary")) % 89 != 0, F.lit(True)))
+    found = warc_fixity.audit(ours, theirs)
+    names = ours.select(F.col("file").alias("of"), F.col("offset").alias("at"), "page_id")
+    out = found.join(names, (F.col("file") == F.col("of")) & (F.col("offset") == F.col("at")), "left")
+    return out.select("page_id", "file", "offset", "status")
+
+
 def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
     """Learned from the documents that are not held out, predicted for all."""
     docs = table(spark, sf, "documents", "doc_id", "text", "lang")
@@ -102,8 +136,10 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_token_counts": op4_token_counts,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_warc_fixity": op7_warc_fixity,
     "op8_language_id": op8_language_id,
     "op9_url_filter": op9_url_filter,
     "op10_decontamination": op10_decontamination,
