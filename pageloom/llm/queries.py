@@ -85,15 +85,40 @@ def op7_warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
     """Where a replica of the pages' archive differs: some pages have a byte changed, some are gone."""
     pages = table(spark, sf, "pages", "page_id", "url", "html")
     ours = shared_table(_archive(pages))
-    mark = F.crc32(F.col("url").cast("binary"))
-    broken = pages.withColumn("html", F.when(mark % 97 == 0, F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
-    theirs = _archive(broken).where(F.coalesce(F.crc32(F.col("url").cast("binary")) % 89 != 0, F.lit(True)))
+    hurt = (F.col("page_id") % 97 == 0) & (F.octet_length(F.substring("html", 1, 1)) == 1)
+    broken = pages.withColumn("html", F.when(hurt, F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
+    theirs = _archive(broken).where("page_id % 89 <> 0")
     found = warc_fixity.audit(ours, theirs)
     names = ours.select(F.col("file").alias("of"), F.col("offset").alias("at"), "page_id")
     out = found.join(names, (F.col("file") == F.col("of")) & (F.col("offset") == F.col("at")), "left")
     return out.select("page_id", "file", "offset", "status")
 
 
+OP7_SQL = r"""
+with http as (
+  select page_id, url, html, e'HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n' || coalesce(html, '') as http
+  from pages
+),
+records as (
+  select page_id, html, 'pages-' || (page_id // 1000) || '.warc' as file,
+    e'WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: ' || coalesce(url, '')
+    || e'\r\nWARC-Date: 2026-01-01T00:00:00Z\r\nWARC-Record-ID: <urn:page:' || page_id
+    || e'>\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: ' || strlen(http)
+    || e'\r\n\r\n' || http || e'\r\n\r\n' as record
+  from http
+),
+placed as (
+  select page_id, file, html,
+    cast(coalesce(sum(strlen(record)) over (partition by file order by page_id rows between unbounded preceding
+      and 1 preceding), 0) as bigint) as "offset"
+  from records
+)
+select page_id, file, "offset", case when page_id % 89 = 0 then 'missing' else 'changed' end as status
+from placed
+where page_id % 89 = 0 or (page_id % 97 = 0 and strlen(substr(html, 1, 1)) = 1 and substr(html, 1, 1) <> '?')
+"""
+
+
 def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
     """Learned from the documents that are not held out, predicted for all."""
     docs = table(spark, sf, "documents", "doc_id", "text", "lang")
@@ -145,5 +170,6 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 ORACLES = {
+    "op7_warc_fixity": OP7_SQL,
     "op9_url_filter": OP9_SQL,
 }

@@ -9,7 +9,8 @@ windows mostly share one. Five steps, each over all texts:
    does another block hold it;
 3. blocks send the passages around repeated anchors, each different one once, to shards by anchor;
 4. a shard finds the windows that stand earlier in another passage: the operator's own method;
-5. blocks drop what the shards' answers cover.
+   its answers are written;
+5. blocks drop what the answers cover.
 
 A group in a task is bounded: anchors of more than ``hot`` passages are filed window by window under
 the hash of the whole window instead, where all passages are equal, and an equal passage comes at
@@ -18,6 +19,7 @@ most once from each block.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from pageloom.llm.tables import Words, chunks, mixed
 from pageloom.session import shared_table
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SEGMENT = 1 << 19
 HOT = 2_000
 RUN = 1_024
@@ -40,10 +42,10 @@ LAST = np.iinfo(np.int64).max
 SCHEMA = "block long, kind int, bucket int, data binary"
 
 
-def packed(arrays: list[np.ndarray | bytes]) -> bytes:
+def packed(arrays: list[np.ndarray | bytes], level: int = 3) -> bytes:
     """Arrays and byte strings in one compressed byte string."""
     raw = [x if isinstance(x, bytes) else x.tobytes() for x in arrays]
-    return zstandard.ZstdCompressor(1).compress(b"".join([np.array([len(x) for x in raw], "<i8").tobytes(), *raw]))
+    return zstandard.ZstdCompressor(level).compress(b"".join([np.array([len(x) for x in raw], "<i8").tobytes(), *raw]))
 
 
 def unpacked(data: bytes, kinds: list) -> list:
@@ -60,7 +62,8 @@ class Block:
     """Keys and texts of one block, and their tokens: bytes or words."""
 
     def __init__(self, data: bytes, words: bool):
-        keys, nulls, lengths, joined = unpacked(data, ["<i8", bool, "<i8", bytes])
+        keys, nulls, lengths, joined, extra = unpacked(data, ["<i8", bool, "<i8", bytes, bytes])
+        self.extra = json.loads(extra)
         self.keys, self.nulls = keys, nulls
         ends = np.cumsum(lengths)
         self.texts = [joined[e - n : e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
@@ -175,20 +178,20 @@ class Repeats:
     hot: int = HOT
     block_bytes: int = BLOCK_BYTES
 
-    def blocks(self, docs: DataFrame, key: str, text: str) -> DataFrame:
+    def blocks(self, docs: DataFrame, key: str, text: str, extra: str | None) -> DataFrame:
         size = self.block_bytes
 
         def made(batches):
             number = TaskContext.get().partitionId() << 32
-            for keys, texts in chunks(batches, "key", "text", size):
+            for keys, texts, more in chunks(batches, "key", "text", size, "extra"):
                 data = packed([
                     np.array([0 if k is None else k for k in keys], "<i8"), np.array([k is None for k in keys], bool),
-                    np.array([len(t) for t in texts], "<i8"), b"".join(texts),
-                ])
+                    np.array([len(t) for t in texts], "<i8"), b"".join(texts), json.dumps(more).encode(),
+                ], 5)
                 yield _batch([(number, 0, 0, data)])
                 number += 1
 
-        rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("text"))
+        rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("binary").alias("text"), (F.col(extra) if extra else F.lit(None).cast("string")).alias("extra"))
         return shared_table(rows.mapInArrow(made, SCHEMA))
 
     def _values(self, block: Block, buckets: int):
@@ -236,7 +239,7 @@ class Repeats:
         return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answered, SCHEMA)
 
     def _passages(self, blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame:
-        """Kind 2: passages for a shard. Kind 3: where the block has them."""
+        """Kind 2: passages for a shard. Kind 3: where the block has them, on the way through any shard."""
 
         def sent(batches):
             for number, rows in _groups(_rows(batches), 0):
@@ -249,7 +252,7 @@ class Repeats:
                 yield _batch(self._sent(number, block, start, count, values[place], state[place], buckets))
 
         joined = blocks.unionByName(answers)
-        return shared_table(joined.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(sent, SCHEMA))
+        return joined.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(sent, SCHEMA)
 
     def _sent(self, number, block, start, count, anchor, state, buckets):
         single = np.flatnonzero(state == 2)
@@ -272,7 +275,9 @@ class Repeats:
         first = key == key[lead][which]
         if self.words:
             first &= at == at[lead][which]
-        yield number, 3, 0, packed([which.astype("<u4"), start, count.astype("<u2"), first])
+        order = np.argsort(start, kind="stable")
+        steps = np.diff(start[order], prepend=0).astype("<u4")
+        yield number, 3, number % buckets, packed([which[order].astype("<u4"), steps, count[order].astype("<u2"), first[order]])
         value = anchor[lead]
         hot = np.flatnonzero(value == 0)
         if len(hot):
@@ -285,8 +290,8 @@ class Repeats:
                 own = order[a:b]
                 mine = [names[j] for j in own]
                 data = packed([
-                    own.astype("<u4"), value[own], key[lead][own], at[lead][own],
-                    np.array([len(t) for t in mine], "<i8"), b"".join(mine),
+                    np.diff(own, prepend=0).astype("<u4"), value[own].astype("<u4"), key[lead][own],
+                    at[lead][own].astype("<u4") if self.words else b"", np.array([len(t) for t in mine], "<u4"), b"".join(mine),
                 ])
                 yield number, 2, i, data
 
@@ -295,13 +300,14 @@ class Repeats:
 
         def judged(batches):
             for _, rows in _groups(_rows(batches), 2):
-                yield _batch(self._shard(rows))
+                yield _batch([row for row in rows if row[1] == 3])
+                if rows[0][1] == 2:
+                    yield _batch(self._shard([row for row in rows if row[1] == 2]))
 
-        shards = passages.where("kind = 2").repartition("bucket").sortWithinPartitions("bucket")
-        return shards.mapInArrow(judged, SCHEMA)
+        return passages.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(judged, SCHEMA)
 
     def _shard(self, rows):
-        parts = [unpacked(data, ["<u4", "<u8", "<i8", "<i8", "<i8", bytes]) for _, _, _, data in rows]
+        parts = [unpacked(data, ["<u4", "<u4", "<i8", "<u4", "<u4", bytes]) for _, _, _, data in rows]
         names: dict[bytes, int] = {}
         which = []
         for *_, lengths, joined in parts:
@@ -311,7 +317,10 @@ class Repeats:
                 end += n
         which = np.array(which)
         sizes = [len(p[0]) for p in parts]
-        own, anchor, key, start = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        own = np.concatenate([np.cumsum(p[0], dtype=np.int64) for p in parts])
+        anchor, key, start = (np.concatenate([p[i] for p in parts]) for i in range(1, 4))
+        if not self.words:
+            start = np.zeros(len(key), np.int64)
         order = np.lexsort((start, key, which))
         lead = order[np.append(True, np.diff(which[order]) != 0)]
         rank = np.lexsort((start[lead], key[lead], anchor[lead]))
@@ -345,27 +354,28 @@ class Repeats:
                 yield number, 4, bucket, packed([own[row[cut]].astype("<u4"), begin[cut].astype("<u2"), many[cut].astype("<u2")])
             last = end
 
-    def kept(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """``key``, ``n_tokens``, ``n_removed``, ``n_spans`` and ``kept`` (binary) of every row of ``docs``."""
-        blocks = self.blocks(docs, key, text)
+    def kept(self, docs: DataFrame, key: str = "doc_id", text: str = "text", extra: str | None = None) -> DataFrame:
+        """``key``, ``n_tokens``, ``n_removed``, ``n_spans``, ``kept`` (binary) and ``extra`` of every row of ``docs``.
+
+        ``extra`` may name a string column to carry along, in place of a join of the texts afterwards.
+        """
+        blocks = self.blocks(docs, key, text, extra)
         buckets = max(8, blocks.count() // 4)
         answers = self._answer(self._ask(blocks, buckets))
-        passages = self._passages(blocks, answers, buckets)
-        judged = self._judged(passages)
+        judged = shared_table(self._judged(self._passages(blocks, answers, buckets)))
 
         def cut(batches):
             for _, rows in _groups(_rows(batches), 0):
                 yield from self._cut(Block(rows[0][3], self.words), rows[1:])
 
-        gathered = blocks.unionByName(passages.where("kind = 3")).unionByName(judged)
-        out = gathered.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(
-            cut, "key long, n_tokens long, n_removed long, n_spans long, kept binary"
+        out = blocks.unionByName(judged).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(
+            cut, "key long, n_tokens long, n_removed long, n_spans long, kept binary, extra string"
         )
-        return out.withColumnRenamed("key", key)
+        return (out if extra else out.drop("extra")).withColumnRenamed("key", key)
 
     def _cut(self, block: Block, rows):
-        which, start, count, first = unpacked(rows[0][3], ["<u4", "<i8", "<u2", bool])
-        count = count.astype(np.int64)
+        which, steps, count, first = unpacked(rows[0][3], ["<u4", "<u4", "<u2", bool])
+        start, count = np.cumsum(steps, dtype=np.int64), count.astype(np.int64)
         passages = int(which.max()) + 1 if len(which) else 0
         size = np.zeros(passages, np.int64)
         size[which] = count
@@ -403,8 +413,8 @@ class Repeats:
         keys = pa.array(block.keys, pa.int64(), mask=block.nulls)
         numbers = (ends - starts, removed[ends] - removed[starts], spans[ends] - spans[starts])
         yield pa.RecordBatch.from_arrays(
-            [keys, *(pa.array(x, pa.int64()) for x in numbers), pa.array(kept, pa.binary())],
-            ["key", "n_tokens", "n_removed", "n_spans", "kept"],
+            [keys, *(pa.array(x, pa.int64()) for x in numbers), pa.array(kept, pa.binary()), pa.array(block.extra, pa.string())],
+            ["key", "n_tokens", "n_removed", "n_spans", "kept", "extra"],
         )
 
 

@@ -80,13 +80,15 @@ def earlier(window: int):
 
 
 def without_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, hot: int = HOT, block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, hot: int = HOT, block_bytes: int = BLOCK_BYTES,
+    extra: str | None = None,
+) -> DataFrame:
     """``key``, ``n_tokens``, ``n_removed``, ``n_spans`` and ``kept`` (words joined by a space) of every row.
 
     A word goes if a window of ``window`` words over it stands earlier: in a text of a smaller key, or
     earlier in the same text. Windows are judged on the input. A null text is empty; rows with a
     null key come after all others and are not told apart; rows that share a key and stand at
-    the same place do not remove each other. Other columns are not read.
+    the same place do not remove each other. Other columns are not read, but
+    for one string column ``extra`` that is carried along.
     """
-    return Repeats(window, min(GRAM, window), True, earlier(window), hot, block_bytes).kept(docs, key, text)
+    return Repeats(window, min(GRAM, window), True, earlier(window), hot, block_bytes).kept(docs, key, text, extra)

@@ -106,12 +106,14 @@ def earlier(window: int):
 
 
 def without_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, hot: int = HOT, block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, hot: int = HOT, block_bytes: int = BLOCK_BYTES,
+    extra: str | None = None,
+) -> DataFrame:
     """``key``, ``n_tokens`` (bytes), ``n_removed``, ``n_spans`` and ``kept`` (bytes) of every row.
 
     A byte goes if a string of ``window`` bytes over it also stands in a text of a smaller key.
     Strings are judged on the input and never cross texts. A null text is empty; a null key is
-    larger than all others; rows that share a key do not remove each other. Other columns are not read.
+    larger than all others; rows that share a key do not remove each other. Other columns are not read, but
+    for one string column ``extra`` that is carried along.
     """
-    return Repeats(window, min(GRAM, window), False, earlier(window), hot, block_bytes).kept(docs, key, text)
+    return Repeats(window, min(GRAM, window), False, earlier(window), hot, block_bytes).kept(docs, key, text, extra)

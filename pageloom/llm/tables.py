@@ -15,23 +15,25 @@ def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet").select(*columns)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], key: str, text: str, limit: int = CHUNK_BYTES):
+def chunks(batches: Iterator[pa.RecordBatch], key: str, text: str, limit: int = CHUNK_BYTES, extra: str | None = None):
     """Lists of keys and of whole texts, a list holding about ``limit`` bytes or one longer text.
 
-    ``text`` is a binary column; a null text is empty.
+    ``text`` is a binary column; a null text is empty. With ``extra`` a third list has that column.
     """
-    keys, texts, size = [], [], 0
+    names = [key, *([extra] if extra else [])]
+    held, texts, size = [[] for _ in names], [], 0
     for batch in batches:
-        for k, t in zip(batch.column(key).to_pylist(), batch.column(text), strict=True):
+        for *own, t in zip(*(batch.column(c).to_pylist() for c in names), batch.column(text), strict=True):
             t = t.as_py() or b""
             if texts and size + len(t) > limit:
-                yield keys, texts
-                keys, texts, size = [], [], 0
-            keys.append(k)
+                yield held[0], texts, *held[1:]
+                held, texts, size = [[] for _ in names], [], 0
+            for column, value in zip(held, own, strict=True):
+                column.append(value)
             texts.append(t)
             size += len(t)
     if texts:
-        yield keys, texts
+        yield held[0], texts, *held[1:]
 
 
 SPACES = np.zeros(256, bool)
