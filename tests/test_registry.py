@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from workload import registry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -33,10 +34,15 @@ def plain(frame):
     return sorted((tuple(map(value, row)) for row in frame.itertuples(index=False)), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_all_are_listed():
+    assert registry.QUERIES.items() <= entry.queries().items()
+    assert registry.ORACLES.items() <= entry.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, duck, name):
-    got = entry.queries()[name](spark, SF).toPandas()
-    expected = duck.execute(entry.oracle_sql()[name]).df()
+    got = registry.QUERIES[name](spark, SF).toPandas()
+    expected = duck.execute(registry.ORACLES[name]).df()
     assert sorted(got.columns) == sorted(expected.columns)
     assert plain(got) == plain(expected)
 
