@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.functions.text import annotation_id
+from pageloom.session import shared_table
 
 ANNOTATION_CONTEXT = "http://www.w3.org/ns/anno.jsonld"
 MIN_CHARACTERS = 50
@@ -101,6 +102,7 @@ def infer(
 
     ``build`` runs once per task and returns ``prompts -> answers``. A batch that raises
     is tried again row by row, so one bad prompt costs one row, whose message is kept.
+    Rows with a NULL prompt are not asked.
     """
     schema = T.StructType(
         [
@@ -121,14 +123,17 @@ def infer(
         for batch in batches:
             for start in range(0, batch.num_rows, batch_size):
                 part = batch.slice(start, batch_size)
-                prompts = part.column(part.schema.get_field_index(prompt)).to_pylist()
+                every = part.column(part.schema.get_field_index(prompt)).to_pylist()
+                prompts = [p for p in every if p is not None]
                 try:
-                    answers = list(call(prompts))
+                    answers = list(call(prompts)) if prompts else []
                     if len(answers) != len(prompts):
                         raise ValueError("one answer per prompt is needed")
-                    results = [(a, None) for a in answers]
+                    asked = [(a, None) for a in answers]
                 except Exception:
-                    results = [one(call, p) for p in prompts]
+                    asked = [one(call, p) for p in prompts]
+                found = iter(asked)
+                results = [(None, None) if p is None else next(found) for p in every]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *part.columns,
@@ -155,13 +160,17 @@ def classify(
     decide: Column | Callable[[], Callable[[list[str]], Sequence[str | None]]],
     url: str = "url",
 ) -> DataFrame:
-    """Add ``llm_decision``: ``archive`` or ``skip`` from a column rule, or the
-    ``decision`` of a user's model that answers URLs with JSON."""
+    """Add ``llm_decision`` and ``llm_decision_error``.
+
+    The decision is ``archive`` or ``skip`` from a column rule, or the ``decision`` of a user's
+    model that answers URLs with JSON. A call that failed leaves its message in the error.
+    """
     if isinstance(decide, Column):
-        return df.withColumn("llm_decision", F.when(decide, "archive").otherwise("skip"))
+        ruled = df.withColumn("llm_decision", F.when(decide, "archive").otherwise("skip"))
+        return ruled.withColumn("llm_decision_error", F.lit(None).cast("string"))
     asked = infer(df, url, decide, "_selection")
     decision = F.try_variant_get(F.try_parse_json("_selection"), "$.decision", "string")
-    return asked.withColumn("llm_decision", decision).drop("_selection", "_selection_error")
+    return asked.withColumn("llm_decision", decision).withColumnRenamed("_selection_error", "llm_decision_error").drop("_selection")
 
 
 def archived(df: DataFrame) -> DataFrame:
@@ -173,39 +182,40 @@ def words(text: Column) -> Column:
 
 
 def dictionary_entities(
-    df: DataFrame, dictionary: DataFrame, text: str = "text", max_words: int = 3
+    df: DataFrame, dictionary: DataFrame, text: str = "text", max_words: int | None = None
 ) -> DataFrame:
     """Entities of ``dictionary(name, type)`` that occur in ``text``, once per row of ``df``.
 
-    Names match as runs of up to ``max_words`` whole words, whatever the case. Each row
-    lists its distinct runs, which meet the names in an equi-join. The planner broadcasts
-    the names when their size allows; otherwise names are unique in the join key, so a
-    frequent run is split by the skew-join rule. ``text`` is not carried along.
+    Names match as runs of whole words, whatever the case; names of the same words and type are
+    one, under the smallest spelling. The numbers of words that names have decide which runs are
+    taken, and only from words that begin a name; ``max_words`` may leave longer names out. Each
+    row lists its distinct runs, which meet the names in an equi-join. The planner broadcasts the
+    names when their size allows; otherwise a frequent run is split by the skew-join rule.
+    ``text`` is not carried along.
     """
-    names = dictionary.select(
-        F.array_join(words(F.col("name")), " ").alias("_run"), "name", "type"
-    ).where("_run <> ''")
+    split = dictionary.select(words(F.col("name")).alias("_words"), "name", "type").where(F.size("_words") > 0)
+    if max_words is not None:
+        split = split.where(F.size("_words") <= max_words)
+    names = split.groupBy(F.array_join("_words", " ").alias("_run"), "type").agg(
+        F.min("name").alias("name"), F.first(F.col("_words")[0]).alias("_first"), F.first(F.size("_words")).alias("_n")
+    )
+    # How long the names are that a word begins: one short row per first word.
+    begins = names.groupBy("_first").agg(F.sort_array(F.collect_set("_n")).alias("_lengths"))
     others = [c for c in df.columns if c != text]
-
-    def runs(n: int) -> Column:
-        if n == 1:
-            return F.col("_words")
-
-        def from_word(word, at):
-            # The last places have no run of this length: NULL, which meets no name.
-            following = [c for k in range(1, n) for c in (F.lit(" "), F.get("_words", at + k))]
-            return F.concat(word, *following)
-
-        return F.transform("_words", from_word)
-
-    return (
-        df.select(*others, words(F.col(text)).alias("_words"))
-        .select(
-            *others,
-            F.explode(
-                F.array_distinct(F.flatten(F.array(*[runs(n) for n in range(1, max_words + 1)])))
-            ).alias("_run"),
+    keyed = df.select(*others, words(F.col(text)).alias("_words")).withColumn("_row", F.monotonically_increasing_id())
+    keyed = shared_table(keyed)
+    at = keyed.select("_row", F.posexplode("_words").alias("_at", "_first"))
+    starts = at.join(begins, "_first").groupBy("_row").agg(F.collect_list(F.struct("_at", "_lengths")).alias("_starts"))
+    run = F.array_distinct(
+        F.flatten(
+            F.transform(
+                "_starts",
+                lambda s: F.transform(
+                    F.filter(s["_lengths"], lambda n: s["_at"] + n <= F.size("_words")),
+                    lambda n: F.array_join(F.slice("_words", s["_at"] + 1, n), " "),
+                ),
+            )
         )
-        .join(names, "_run")
-        .drop("_run")
     )
+    runs = keyed.join(starts, "_row").select(*others, F.explode(run).alias("_run"))
+    return runs.join(names.select("_run", "name", "type"), "_run").drop("_run")

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.operators.urls import screen_urls, url_decision
-from pageloom.schemas import CHECKPOINT
 
 
 def processed_urls(checkpoint: DataFrame) -> DataFrame:
-    return checkpoint.select("url").where("url is not null").distinct()
+    """``url`` of every record, and whether it was ``accepted``."""
+    known = checkpoint.where("url is not null").groupBy("url")
+    return known.agg(F.bool_or("heuristic_decision").alias("accepted"))
 
 
 def unprocessed(df: DataFrame, processed: DataFrame, url: str = "url") -> DataFrame:
@@ -24,14 +25,16 @@ def resume_decision(
 ) -> DataFrame:
     """URL decisions for the rows that are left, with the canonical URLs of done ones seen.
 
-    A canonical twin of a done URL is a duplicate. ``compat=True`` forgets the done URLs
+    A canonical twin of a done and ``accepted`` URL is a duplicate. ``compat=True`` forgets the done URLs
     at a restart, so such a twin is accepted once more.
     """
     left = unprocessed(df, processed, url)
     decided = url_decision(left, url, seq)
     if compat:
         return decided
-    passed = screen_urls(processed.select(F.col("url").alias(url)), url).where("reject_reason is null")
+    # A rejected twin of a page that failed must not stand in its way.
+    kept = processed.where(F.coalesce("accepted", F.lit(True))) if "accepted" in processed.columns else processed
+    passed = screen_urls(kept.select(F.col("url").alias(url)), url).where("reject_reason is null")
     seen = passed.select("canonical_url").distinct().withColumn("_seen", F.lit(True))
     again = F.col("accepted") & F.col("_seen").isNotNull()
     return (
@@ -43,14 +46,8 @@ def resume_decision(
     )
 
 
-def resume_pages(df: DataFrame, processed: DataFrame, url: str = "url", seq: str = "seq") -> DataFrame:
-    """The wide rows to work on after a restart; they move once, by ``seq``."""
-    decided = resume_decision(df.select(seq, url), processed, url, seq)
-    return df.join(decided.where("accepted").select(seq, "canonical_url"), seq)
-
-
-def checkpoint_records(decided: DataFrame) -> DataFrame:
-    """One record per URL seen, rejected ones included, in the fixed six columns.
+def checkpoint_records(decided: DataFrame, *others: str | Column) -> DataFrame:
+    """One record per URL seen, rejected ones included, in the fixed six columns, and ``others``.
 
     The model's columns are NULL where the step before them said no.
     """
@@ -67,4 +64,5 @@ def checkpoint_records(decided: DataFrame) -> DataFrame:
         when(accepted, "llm_decision"),
         when(chosen, "processed_html"),
         when(chosen, "generated_annotation"),
-    ).to(CHECKPOINT)
+        *others,
+    )

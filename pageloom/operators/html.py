@@ -35,14 +35,15 @@ def _block_lists(pages: list, with_text: bool) -> tuple[pa.Array, pa.Array]:
 
 
 def html_blocks(
-    df: DataFrame, html: str = "html", with_text: bool = True, keep_html: bool = False
+    df: DataFrame, html: str = "html", with_text: bool = True, keep_html: bool = False, wanted: str | None = None
 ) -> DataFrame:
     """Replace the ``html`` column by ``blocks ARRAY<STRUCT>`` and ``html_error``.
 
     One Python pass over Arrow batches, no shuffle, one row in and one out. The text of
     nested unclosed paragraphs repeats, so it can outgrow the page; ``with_text=False``
     leaves it NULL for callers that read ``own_text`` alone. ``keep_html`` keeps the page. Filter on the URL before this
-    step, since no filter moves below it.
+    step, since no filter moves below it, or name a boolean column ``wanted``: rows where it is
+    not true go through without blocks.
     """
     others = [f for f in df.schema.fields if f.name != html]
     kept = [df.schema[html], *others] if keep_html else others
@@ -54,7 +55,11 @@ def html_blocks(
             # Few pages at a time, so that the repeated text stays small in memory.
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
-                blocks, errors = _block_lists(part.column(0).to_pylist(), with_text)
+                pages = part.column(0).to_pylist()
+                if wanted is not None:
+                    flags = part.column(part.schema.get_field_index(wanted)).to_pylist()
+                    pages = [page if flag else None for page, flag in zip(pages, flags, strict=True)]
+                blocks, errors = _block_lists(pages, with_text)
                 yield pa.RecordBatch.from_arrays([*part.columns[first:], blocks, errors], names)
 
     schema = T.StructType(

@@ -74,6 +74,27 @@ def row_numbers(df: DataFrame, output: str, seq: str = "seq", rows_per_chunk: in
     )
 
 
+def group_numbers(
+    df: DataFrame, output: str, group: str, seq: str = "seq", rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
+    """``(seq, output)``: 1, 2, 3 … in the order of ``seq`` within each ``group``.
+
+    A group of any size is numbered chunk by chunk, and shifted by its rows in the chunks before.
+    """
+    narrow = df.select(seq, F.col(group).alias("_group"))
+    tagged = narrow.withColumn("_chunk", order_chunk(narrow, seq, rows_per_chunk))
+    before = Window.partitionBy("_group").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per group and chunk.
+    offsets = (
+        tagged.groupBy("_group", "_chunk")
+        .agg(F.count("*").alias("_rows"))
+        .select("_group", "_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    )
+    inside = F.row_number().over(Window.partitionBy("_group", "_chunk").orderBy(seq))
+    numbered = tagged.withColumn("_inside", inside).join(offsets, ["_group", "_chunk"])
+    return numbered.select(seq, (F.col("_offset") + F.col("_inside")).alias(output))
+
+
 def number_rows(
     df: DataFrame, output: str, seq: str = "seq", rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:

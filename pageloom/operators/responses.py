@@ -9,8 +9,9 @@ from pageloom.operators.annotate import ANNOTATION_CONTEXT
 from pageloom.operators.columns import with_computed
 from pageloom.operators.order import ROWS_PER_CHUNK, number_rows
 
-# Keys that the store sets by itself.
+# Keys that the store sets by itself, and keys of a page that have columns of their own.
 STORE_KEYS = ("id", "created")
+PAGE_KEYS = ("@context", "id", "type", "items", "partOf", "created", "generator", "generated", "source")
 
 
 def _text(value: Column, path: str) -> Column:
@@ -106,7 +107,8 @@ def annotation_pages(
     """One annotation page per answer with annotations, as ``annotation_page``.
 
     Pages are numbered 1, 2, 3 … by ``seq``. A typed page keeps its own id and context;
-    the other shapes get new ones, and metadata always comes from the archive record.
+    the other shapes get new ones, and metadata always comes from the archive record. What
+    else a typed page has is kept as JSON in ``page_keys``, and every annotation whole in ``items_json``.
     ``generator`` gives id, type, name and homepage of the software. ``parsed`` is read
     three times for the numbers: let it come from a table.
     """
@@ -115,6 +117,8 @@ def annotation_pages(
     typed, page = F.col("shape") == "typed", F.col("page")
     new_id = F.concat(F.lit("urn:uuid:page-"), F.col("page_number").cast("string"))
     own = F.when(typed, _text(page, '$["@context"]')).otherwise(F.lit(ANNOTATION_CONTEXT))
+    held = F.try_variant_get(page, "$", "map<string,variant>")
+    own_keys = F.to_json(F.map_filter(held, lambda k, _: ~k.isin(*PAGE_KEYS)))
     date = F.col(f"{warc}.warc_date")
     source = (
         "warc_record_id", "warc_ip_address", "warc_payload_digest",
@@ -137,5 +141,6 @@ def annotation_pages(
             F.struct(*[F.col(f"{warc}.{n}").alias(n) for n in source]).alias("source"),
             F.transform("items", annotation_struct).alias("items"),
         ).alias("annotation_page"),
+        F.when(typed, own_keys).alias("page_keys"),
         F.transform("items", lambda v: F.to_json(v)).alias("items_json"),
     )

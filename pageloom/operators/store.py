@@ -13,10 +13,11 @@ from pageloom.functions.names import (
     container_slug,
     label_filename,
 )
-from pageloom.operators.order import number_rows
+from pageloom.operators.order import group_numbers
 from pageloom.operators.responses import STORE_KEYS, payload
 from pageloom.session import shared_table
 
+# Fixed values of the annotation store's documents.
 CONTAINER_CONTEXT = "http://iiif.io/api/presentation/3/context.json"
 DEFAULT_LABEL = "A Container for Web Annotations"
 KEYS = ["container_slug", "annotation_slug"]
@@ -137,14 +138,16 @@ def get_container(store: Store, slug: str) -> DataFrame:
 def collection_annotations(collections: DataFrame, prefix: str = CONTAINER_PREFIX) -> DataFrame:
     """Annotations of nested collections, one row each, with their slugs.
 
-    ``seq`` is the page and ``pos`` the place in it; annotations without an id are left out.
+    ``seq`` is the number of the page in its collection, from 0 and whatever the parts, and
+    ``pos`` the place in the page; annotations without an id are left out.
     """
     slug = container_slug(F.col("id"), label_filename(F.col("label")), prefix)
-    number = ["part"] if "part" in collections.columns else []
-    part = F.col("part") if number else F.lit(0)
+    before = F.col("first_page") if "first_page" in collections.columns else F.lit(0)
     return (
-        collections.select(slug.alias("container_slug"), part.alias("part"), F.posexplode("items").alias("seq", "_page"))
-        .select("container_slug", "part", "seq", F.posexplode("_page.items").alias("pos", "_json"))
+        collections.select(
+            slug.alias("container_slug"), F.coalesce(before, F.lit(0)).cast("long").alias("_before"), F.posexplode("items").alias("_nr", "_page")
+        )
+        .select("container_slug", (F.col("_before") + F.col("_nr")).alias("seq"), F.posexplode("_page.items").alias("pos", "_json"))
         .withColumn("_item", F.try_parse_json("_json"))
         .withColumn("_id", F.try_variant_get("_item", "$.id", "string"))
         .where("_id is not null")
@@ -152,7 +155,6 @@ def collection_annotations(collections: DataFrame, prefix: str = CONTAINER_PREFI
             "container_slug",
             annotation_slug(F.col("_id")).alias("annotation_slug"),
             payload(F.col("_item")).alias("payload"),
-            "part",
             "seq",
             "pos",
         )
@@ -178,7 +180,7 @@ def load_collection(
     created = collection_containers(collections, prefix)
     incoming = collection_annotations(collections, prefix)
     cleared = replace_containers(store, created)
-    decisions = upsert_decisions(incoming, cleared.annotations, ("part", "seq", "pos"))
+    decisions = upsert_decisions(incoming, cleared.annotations, ("seq", "pos"))
     if write_decisions:
         decisions = shared_table(decisions)
     inserted = decisions.where("is_new").select(*KEYS, "payload")
@@ -206,9 +208,11 @@ def upload_summary(containers: DataFrame, decisions: DataFrame, errors: DataFram
 
 
 def collection_stats(collections: DataFrame) -> DataFrame:
-    """Pages and annotations of every collection document."""
-    total = F.aggregate("items", F.lit(0), lambda n, page: n + F.coalesce(F.size(page["items"]), F.lit(0)))
-    return collections.select("id", "label", F.size("items").alias("pages"), total.alias("annotations"))
+    """Pages and annotations of every collection, over all its parts."""
+    held = F.aggregate("items", F.lit(0), lambda n, page: n + F.coalesce(F.size(page["items"]), F.lit(0)))
+    return collections.groupBy("id", "label").agg(
+        F.sum(F.size("items")).cast("int").alias("pages"), F.sum(held).cast("int").alias("annotations")
+    )
 
 
 def assemble_collection(
@@ -221,17 +225,15 @@ def assemble_collection(
     """Nested collection documents from pages with ``page_id`` and ``items ARRAY<STRING>``.
 
     A collection of many pages comes in several parts with the same id and label, each of
-    ``pages_per_part`` pages at most, so no group grows with the data. The loader takes
-    the parts of a collection together.
+    ``pages_per_part`` pages, so no group grows with the data. ``first_page`` counts the
+    collection's pages before the part; what reads the parts gives the same for any size of them.
     """
     page = F.struct(F.col(seq).alias("seq"), F.struct(F.col("page_id").alias("id"), "items").alias("page"))
-    part = F.floor((F.col("_number") - 1) / pages_per_part).cast("int")
+    named = pages.withColumn("id", collection_id).withColumn("label", label)
+    first = F.floor((F.col("_number") - 1) / pages_per_part).cast("long") * pages_per_part
     return (
-        number_rows(pages, "_number", seq)
-        .withColumn("part", part)
-        .withColumn("id", collection_id)
-        .withColumn("label", label)
-        .groupBy("id", "label", "part")
+        named.join(group_numbers(named, "_number", "id", seq), seq)
+        .groupBy("id", "label", first.alias("first_page"))
         .agg(F.array_sort(F.collect_list(page)).alias("_pages"))
-        .select("id", "label", "part", F.transform("_pages", lambda p: p["page"]).alias("items"))
+        .select("id", "label", "first_page", F.transform("_pages", lambda p: p["page"]).alias("items"))
     )

@@ -121,7 +121,7 @@ def _sorted_fold(rows: pd.DataFrame, budget: int) -> tuple[pd.DataFrame, _Fold]:
 
 
 def _chunk_starts(
-    tagged: DataFrame, budget: int, start_tokens: int, start_batch: int
+    tagged: DataFrame, budget: int, start_tokens: int, start_batch: int, state: DataFrame | None
 ) -> DataFrame:
     """Per shard and chunk, tokens used and batch number at its start and its end.
 
@@ -138,7 +138,7 @@ def _chunk_starts(
         )
 
     def follow(key, rows):
-        used, batch, out = start_tokens, start_batch, []
+        used, batch, out = int(rows["start_tokens"].iloc[0]), int(rows["start_batch"].iloc[0]), []
         for row in rows.sort_values("chunk").itertuples():
             start = (used, batch)
             at = int(np.searchsorted(row.above, used, side="left")) - 1
@@ -154,6 +154,13 @@ def _chunk_starts(
         summarise,
         "shard string, chunk int, above array<bigint>, used array<bigint>, restarts array<bigint>",
     )
+    first = [F.lit(start_tokens).alias("start_tokens"), F.lit(start_batch).alias("start_batch")]
+    if state is None:
+        summaries = summaries.select("*", *first)
+    else:
+        known = state.select("shard", "token_count", F.col("batch").alias("batch_count"))
+        found = [F.coalesce("token_count", F.lit(start_tokens)).alias("start_tokens"), F.coalesce("batch_count", F.lit(start_batch)).alias("start_batch")]
+        summaries = summaries.join(known, "shard", "left").select(*summaries.columns, *found)
     return summaries.groupBy("shard").applyInPandas(
         follow,
         "shard string, chunk int, used_in bigint, batch_in bigint, used_out bigint, batch_out bigint",
@@ -180,16 +187,18 @@ def token_batches(
     start_tokens: int = 0,
     start_batch: int = 0,
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """``(seq, batch)``: the batch every row falls in under a token budget.
 
     The result equals one pass over all rows in the order of ``seq``, but every task folds
     one ordered chunk from its own start. ``shard`` gives each of its values a budget of
-    its own. The narrow columns are read three times: let them come from a table.
+    its own. ``state``, as ``load_state`` gives it, goes on from where a run stopped: its shards
+    start from their own counters. The narrow columns are read three times: let them come from a table.
     """
     tagged = _tagged(df, seq, prompt, completion, shard, rows_per_chunk)
     # One row per shard and chunk.
-    starts = _chunk_starts(tagged, budget, start_tokens, start_batch)
+    starts = _chunk_starts(tagged, budget, start_tokens, start_batch, state)
 
     def label(key, rows):
         rows, fold = _sorted_fold(rows, budget)
@@ -215,10 +224,11 @@ def token_state(
     start_tokens: int = 0,
     start_batch: int = 0,
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Per shard, tokens in use and batch number after all rows: the start of the next run."""
     tagged = _tagged(df, seq, prompt, completion, shard, rows_per_chunk)
-    last = _chunk_starts(tagged, budget, start_tokens, start_batch).groupBy("shard").agg(
+    last = _chunk_starts(tagged, budget, start_tokens, start_batch, state).groupBy("shard").agg(
         F.max_by("used_out", "chunk").alias("token_count"),
         F.max_by("batch_out", "chunk").alias("batch"),
     )

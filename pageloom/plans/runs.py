@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageloom.functions.names import annotation_slug
 from pageloom.functions.text import prompt_text
@@ -24,11 +26,24 @@ from pageloom.operators.store import (
     upsert_decisions,
 )
 from pageloom.operators.summary import run_summary
+from pageloom.operators.tokens import token_batches, token_count, token_state
 from pageloom.operators.urls import first_seen
 from pageloom.session import shared_table
-from pageloom.sources.tables import append_checkpoint, read_checkpoint, read_collection
+from pageloom.sources.tables import (
+    append_annotations,
+    append_checkpoint,
+    load_state,
+    read_checkpoint,
+    read_collection,
+    read_failures,
+    save_state,
+    write_entities,
+)
 from pageloom.sources.warc import html_responses, read_warc
 
+# Tokens that a resumed run may use before it pauses.
+TOKEN_BUDGET = 30_000
+
 Model = Callable[[], Callable[[list[str]], Sequence[str | None]]]
 
 
@@ -37,6 +52,7 @@ class CrawlResult(NamedTuple):
     entities: DataFrame
     store: Store
     summary: DataFrame
+    failures: DataFrame
 
 
 def ingest(spark: SparkSession, archives: str | Sequence[str], output: str) -> DataFrame:
@@ -59,15 +75,14 @@ def page_annotations(pages: DataFrame, url: str = "url", seq: str = "seq") -> Da
 
 
 def answers(accepted: DataFrame, model: Model | None) -> DataFrame:
-    """``response`` per accepted page, by the user's model or by the written rules."""
+    """``response`` and ``response_error`` per accepted page, by the user's model or by the written rules."""
     if model is None:
-        return A.rule_response(html_blocks(accepted, with_text=False))
+        ruled = A.rule_response(html_blocks(accepted, with_text=False))
+        return ruled.withColumn("response_error", F.lit(None).cast("string"))
     prompts = html_blocks(accepted).withColumn(
         "prompt", prompt_text(F.col("url"), processed_html(F.col("blocks")))
     )
-    return A.annotate(prompts.drop("blocks", "html_error"), "prompt", model).drop(
-        "prompt", "response_error"
-    )
+    return A.annotate(prompts.drop("blocks", "html_error"), "prompt", model).drop("prompt")
 
 
 def annotate_crawl(
@@ -76,14 +91,17 @@ def annotate_crawl(
     collection_id: str,
     title: str,
     model: Model | None = None,
+    output: str | None = None,
 ) -> CrawlResult:
     """Pages ``(seq, url, html, warc)`` of a table to entities and stored annotations.
 
     The answers go through a table, since a model must not be asked again by each of the
-    steps that read them.
+    steps that read them. Pages whose call failed are ``failures`` and not among the parsed
+    answers. With ``output`` the new annotations and the entities are appended to folders below it.
     """
     accepted = first_seen(pages, write_repeats=True)
-    parsed = parse_response(shared_table(answers(accepted, model)))
+    answered = shared_table(answers(accepted, model))
+    parsed = parse_response(answered.where("response_error is null").drop("response_error"))
     created = run_container(pages, collection_id, title)
     store = replace_containers(existing, created)
     incoming = annotations(parsed).select(
@@ -95,14 +113,28 @@ def annotate_crawl(
     )
     decisions = shared_table(upsert_decisions(incoming, store.annotations))
     inserted = decisions.where("is_new").select(*KEYS, "payload")
+    found = entities(parsed)
+    if output is not None:
+        append_annotations(inserted, f"{output}/annotations")
+        write_entities(found, f"{output}/entities")
     return CrawlResult(
         parsed,
-        entities(parsed),
+        found,
         Store(store.containers, store.annotations.unionByName(inserted)),
         run_summary(pages.select("seq"), parsed, decisions),
+        answered.where("response_error is not null").select("seq", "url", F.col("response_error").alias("error")),
     )
 
 
+class Resumed(NamedTuple):
+    """What one run of ``resume_crawl`` did."""
+
+    records: DataFrame
+    failures: DataFrame
+    entities: DataFrame
+    batches: DataFrame
+
+
 def resume_crawl(
     spark: SparkSession,
     pages: DataFrame,
@@ -110,45 +142,66 @@ def resume_crawl(
     decide: Column | Model,
     model: Model | None = None,
     compat: bool = False,
-) -> DataFrame:
+    budget: int = TOKEN_BUDGET,
+) -> Resumed:
     """Work on the URLs without a checkpoint record and append their records.
 
-    Returns the new records. Rejected URLs get one as well.
+    Rejected URLs get a record as well. A page whose model call failed gets none: it is among the
+    ``failures`` and is tried again by the next run. The entities of the answers are appended as lines,
+    and the token counter goes on from run to run: ``batches`` has the batch under ``budget`` of
+    every page with an answer. Pages ``(seq, url, html, warc)`` are read, moved and written once.
+    Records, entities and the counter lie in folders below ``checkpoint``.
     """
-    if _exists(spark, checkpoint):
-        done = shared_table(processed_urls(read_checkpoint(spark, checkpoint)))
+    run, folder = uuid.uuid4().hex, checkpoint.rstrip("/")
+    records, state = f"{folder}/records", f"{folder}/state"
+    if _exists(spark, records):
+        done = shared_table(processed_urls(read_checkpoint(spark, records)))
     else:
-        done = spark.createDataFrame([], "url string")
+        done = spark.createDataFrame([], "url string, accepted boolean")
     decided = shared_table(resume_decision(pages.select("seq", "url"), done, compat=compat))
     chosen = A.classify(decided.where("accepted"), decide)
+    none = F.lit(None).cast("string")
     labels = shared_table(
         decided.where("not accepted")
-        .select("seq", F.lit(False).alias("heuristic_decision"), F.lit(None).cast("string").alias("llm_decision"))
-        .unionByName(chosen.select("seq", F.lit(True).alias("heuristic_decision"), "llm_decision"))
+        .select("seq", F.lit(False).alias("heuristic_decision"), none.alias("llm_decision"), none.alias("llm_decision_error"))
+        .unionByName(chosen.select("seq", F.lit(True).alias("heuristic_decision"), "llm_decision", "llm_decision_error"))
     )
-    labelled = pages.select("seq", "url", "html").join(labels, "seq")
+    labelled = pages.select("seq", "url", "html", "warc").join(labels, "seq")
     wanted = F.coalesce(F.col("llm_decision") == "archive", F.lit(False))
-    prompts = html_blocks(labelled.where(wanted), keep_html=True).withColumn(
-        "processed_html", prompt_text(F.col("url"), processed_html(F.col("blocks")))
-    )
+    blocks = html_blocks(labelled.withColumn("_wanted", wanted), keep_html=True, wanted="_wanted")
+    prompt = F.when(F.col("_wanted"), prompt_text(F.col("url"), processed_html(F.col("blocks"))))
+    prompts = blocks.withColumn("processed_html", prompt)
     if model is None:
         answered = A.rule_response(prompts).withColumnRenamed("response", "generated_annotation")
+        answered = answered.withColumn("generated_annotation_error", none)
     else:
-        asked = A.infer(
-            prompts.drop("blocks", "html_error"), "processed_html", model, "generated_annotation"
+        answered = A.infer(prompts.drop("blocks", "html_error"), "processed_html", model, "generated_annotation")
+    error = F.coalesce("llm_decision_error", "generated_annotation_error").alias("error")
+    kept = checkpoint_records(answered, "seq", "warc", error)
+    append_checkpoint(kept, records, run)
+    columns = ["seq", "url", "warc", "processed_html", "generated_annotation"]
+    kinds = T.StructType([*(kept.schema[c] for c in columns), T.StructField("run", T.StringType())])
+    mine = spark.read.schema(kinds).parquet(records).where(F.col("run") == run)
+    asked = shared_table(
+        mine.where("generated_annotation is not null").select(
+            "seq",
+            token_count(F.col("processed_html")).alias("prompt_tokens"),
+            token_count(F.col("generated_annotation")).alias("completion_tokens"),
         )
-        answered = asked.drop("generated_annotation_error")
-    others = labelled.where(~wanted)
-    for name in ("processed_html", "generated_annotation"):
-        others = others.withColumn(name, F.lit(None).cast("string"))
-    records = shared_table(checkpoint_records(answered.unionByName(others)))
-    append_checkpoint(records, checkpoint)
-    return records
+    )
+    before = shared_table(load_state(spark, state))
+    batches = shared_table(token_batches(asked, budget, state=before))
+    now = token_state(asked, budget, state=before).select(F.lit("").alias("shard"), "token_count", "batch")
+    save_state(shared_table(now if not asked.isEmpty() else before), state)
+    parsed = parse_response(mine.select("seq", "url", "warc", F.col("generated_annotation").alias("response")).where("response is not null"))
+    found = shared_table(entities(parsed))
+    write_entities(found, f"{folder}/entities")
+    return Resumed(read_checkpoint(spark, records, run), read_failures(spark, records, run), found, batches)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.schema("url string").json(path)
+        spark.read.schema("url string").parquet(path)
     except Exception as problem:
         if "PATH_NOT_FOUND" not in str(problem):
             raise

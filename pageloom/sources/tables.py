@@ -36,18 +36,46 @@ def write_entities(entities: DataFrame, path: str) -> None:
     )
 
 
-def append_checkpoint(records: DataFrame, path: str) -> None:
+def append_checkpoint(records: DataFrame, path: str, run: str) -> None:
+    """Append what a run did: the records by ``status``, ``done`` or ``failed``, and what failed in ``error``.
+
+    Parquet, so that a restart reads the URLs alone, and one write of the wide rows.
+    """
+    status = F.when(F.col("error").isNull(), "done").otherwise("failed")
+    out = records.select("*", status.alias("status"), F.lit(run).alias("run"))
+    out.write.partitionBy("status", "run").mode("append").parquet(path)
+
+
+def read_checkpoint(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
+    """Records of done URLs, of one run or of all."""
+    rows = _checkpoint(spark, path, run).where("status = 'done'")
+    return rows.select(*CHECKPOINT.fieldNames())
+
+
+def read_failures(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
+    """``url`` and ``error`` of pages whose model call failed; they are not done and are tried again."""
+    return _checkpoint(spark, path, run).where("status = 'failed'").select("url", "error")
+
+
+def _checkpoint(spark: SparkSession, path: str, run: str | None) -> DataFrame:
+    kinds = T.StructType([*CHECKPOINT.fields, *(T.StructField(n, T.StringType()) for n in ("error", "status", "run"))])
+    rows = spark.read.schema(kinds).parquet(path)
+    return rows if run is None else rows.where(F.col("run") == run)
+
+
+def write_checkpoint_lines(records: DataFrame, path: str) -> None:
+    """Checkpoint records as JSON lines, for exchange."""
     records.to(CHECKPOINT).write.mode("append").options(**JSON_OPTIONS).json(path)
 
 
-def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
-    """Checkpoint records; lines that are not JSON are skipped."""
+def read_checkpoint_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Checkpoint records of JSON lines; a line that is not JSON is left out, so its URL is worked on again."""
     return spark.read.schema(CHECKPOINT).option("mode", "DROPMALFORMED").json(path)
 
 
 def finalise(spark: SparkSession, checkpoint: str, output: str) -> None:
-    """Checkpoint JSON to Parquet, replacing what is there."""
-    spark.read.schema(CHECKPOINT).json(checkpoint).write.mode("overwrite").parquet(output)
+    """Checkpoint JSON lines to Parquet, replacing what is there; a line that is not JSON fails."""
+    spark.read.schema(CHECKPOINT).option("mode", "FAILFAST").json(checkpoint).write.mode("overwrite").parquet(output)
 
 
 def read_collection(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -74,19 +102,22 @@ def write_collection(collections: DataFrame, path: str) -> None:
 
 
 def save_state(state: DataFrame, path: str) -> None:
-    """The token counter of a run, one small row per shard."""
-    state.coalesce(1).write.mode("overwrite").json(path)
+    """The token counters of a run, a row per shard."""
+    state.write.mode("overwrite").json(path)
+
 
+def load_state(spark: SparkSession, path: str) -> DataFrame:
+    """``shard``, ``token_count`` and ``batch`` of every shard, for ``token_batches``; empty for a new run.
 
-def load_state(spark: SparkSession, path: str) -> int:
-    """The saved token counter of a run without shards; 0 for a new run."""
+    Without shards it is one row, whose shard is the empty string.
+    """
+    schema = "shard string, token_count bigint, batch bigint"
     try:
-        rows = spark.read.schema("token_count bigint").json(path).take(1)
+        return spark.read.schema(schema).json(path).fillna({"shard": ""})
     except Exception as problem:
         if "PATH_NOT_FOUND" not in str(problem):
             raise
-        return 0
-    return rows[0][0] if rows else 0
+        return spark.createDataFrame([], schema)
 
 
 def append_annotations(inserted: DataFrame, path: str) -> None:

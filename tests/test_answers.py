@@ -135,6 +135,7 @@ def test_classify(spark):
 def test_dictionary_against_brute_force(spark):
     texts = ["Ann met Bob Ray. ann again", "bob", "Ray Bob ray", "", None, "x " * 300 + "Bob Ray"]
     names = [("Ann", "person"), ("Bob Ray", "artist"), ("ray bob RAY", "work"), ("x x x", "other")]
+    names += [("x x x x x bob ray", "work"), ("met Bob Ray ann again", "other"), ("!?", "other"), ("Ann", "artist")]
     df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
     got = A.dictionary_entities(df, spark.createDataFrame(names, "name string, type string"))
     expected = set()

@@ -7,7 +7,7 @@ from pageloom.operators import store as S
 from pageloom.operators.summary import observed
 from pageloom.plans import runs
 from pageloom.schemas import PROVENANCE
-from pageloom.sources.tables import read_checkpoint
+from pageloom.sources.tables import read_checkpoint, read_entities
 
 TEXT = "A bridge joins two banks of a river. It carries a road or a path over it."
 URLS = ["http://a.com/x", "http://www.a.com/x/", "http://a.com/y", "http://a.com/login", "http://a.com/z"]
@@ -67,15 +67,71 @@ def test_resume_crawl(spark, pages, tmp_path, answer):
     folder = str(tmp_path / "ck")
     choose = F.col("url") != URLS[4]
     first = runs.resume_crawl(spark, pages.where("seq in (1, 3)"), folder, choose, answer)
-    assert first.count() == 2
+    assert first.records.count() == 2
     second = runs.resume_crawl(spark, pages, folder, choose, answer)
-    got = {r.url: r for r in second.collect()}
+    got = {r.url: r for r in second.records.collect()}
     assert set(got) == {URLS[0], URLS[2], URLS[4]}
     assert not got[URLS[0]].heuristic_decision and got[URLS[0]].html
     assert got[URLS[2]].processed_html.startswith(URLS[2] + "\n\n<p>A bridge") and got[URLS[2]].generated_annotation
     assert got[URLS[4]].llm_decision == "skip" and got[URLS[4]].processed_html is None
-    assert runs.resume_crawl(spark, pages, folder, choose, answer).count() == 0
-    assert read_checkpoint(spark, folder).count() == 5
+    assert runs.resume_crawl(spark, pages, folder, choose, answer).records.count() == 0
+    assert read_checkpoint(spark, f"{folder}/records").count() == 5
+    assert second.failures.count() == 0
+
+
+def failing():
+    def call(prompts):
+        raise ValueError("down")
+
+    return call
+
+
+@pytest.mark.parametrize("url_model", [False, True])
+def test_failed_pages_are_tried_again(spark, pages, tmp_path, url_model):
+    folder, choose = str(tmp_path / "ck"), F.lit(True)
+    down = failing if url_model else choose
+    first = runs.resume_crawl(spark, pages, folder, down, failing)
+    accepted = {URLS[0], URLS[2], URLS[4]}
+    assert {(r.url, r.error) for r in first.failures.collect()} == {(u, "ValueError: down") for u in accepted}
+    assert {r.url for r in first.records.collect()} == {URLS[1], URLS[3]}
+    second = runs.resume_crawl(spark, pages, folder, choose, model)
+    assert {r.url for r in second.records.collect()} == accepted
+    assert {r.source.url for r in second.entities.collect()} == {URLS[0], URLS[4]}
+    lines = read_entities(spark, f"{folder}/entities/worker=*")
+    assert {r.source.url for r in lines.collect()} == {URLS[0], URLS[4]}
+    assert runs.resume_crawl(spark, pages, folder, choose, model).records.count() == 0
+
+
+def test_token_counter_goes_on(spark, pages, tmp_path):
+    """Pages in three runs get the batches that one run gives them."""
+    one = runs.resume_crawl(spark, pages, str(tmp_path / "one"), F.lit(True), model, budget=60)
+    folder, parts = str(tmp_path / "three"), []
+    for seq in ("seq <= 1", "seq in (2, 3)", "seq = 4"):
+        parts += runs.resume_crawl(spark, pages.where(seq), folder, F.lit(True), model, budget=60).batches.collect()
+    assert sorted(tuple(r) for r in parts) == sorted(tuple(r) for r in one.batches.collect())
+    assert max(r.batch for r in parts) > 0
+
+
+def test_pages_are_scanned_once(spark, pages, tmp_path):
+    pages.write.parquet(str(tmp_path / "pages"))
+    table = spark.read.parquet(str(tmp_path / "pages"))
+    scans = []
+    real = runs.append_checkpoint
+    try:
+        runs.append_checkpoint = lambda kept, *rest: (scans.append(kept._jdf.queryExecution().executedPlan().toString()), real(kept, *rest))
+        runs.resume_crawl(spark, table, str(tmp_path / "ck"), F.lit(True), model)
+    finally:
+        runs.append_checkpoint = real
+    assert scans[0].count("html:string,") == 1
+
+
+def test_run_that_lasts(spark, pages, tmp_path):
+    result = runs.annotate_crawl(pages, empty_store(spark), "urn:c", "T", failing, str(tmp_path / "out"))
+    assert result.failures.count() == 3 and result.summary.first().malformed_responses == 0
+    runs.annotate_crawl(pages, empty_store(spark), "urn:c", "T", model, str(tmp_path / "out"))
+    stored = spark.read.parquet(str(tmp_path / "out" / "annotations"))
+    assert [r.container_slug for r in stored.collect()] == ["crawl-f-1"]
+    assert read_entities(spark, str(tmp_path / "out" / "entities" / "worker=*")).count() == 2
 
 
 def test_page_annotations(spark, pages):

@@ -94,6 +94,9 @@ def test_assembled_parts_hold_all_pages_once(spark, tmp_path, per_part):
     store, summary = S.load_collection(S.Store(containers(spark), stored(spark)), tables.read_collection(spark, str(tmp_path / "out"), False))
     assert summary.first().annotations_uploaded == 9
     assert {r.payload for r in store.annotations.collect()} == {'{"n":null}'}
+    stats = S.collection_stats(made).collect()
+    assert [tuple(r) for r in stats] == [("urn:c", "L - f.warc.gz", 9, 9)]
+    assert sorted(r.seq for r in S.collection_annotations(made).collect()) == list(range(9))
 
 
 def test_entity_files(spark, tmp_path):
@@ -113,23 +116,40 @@ def test_entity_files(spark, tmp_path):
         tables.read_entities(spark, str(path)).collect()
 
 
-def test_checkpoint_files(spark, tmp_path):
+def test_checkpoint_lines(spark, tmp_path):
     folder = tmp_path / "ck"
     folder.mkdir()
-    (folder / "a.json").write_text('{"url": "u1", "html": "h"}\n{oops\n{"html": "no url"}\n{"url": "u1"}\n')
-    read = tables.read_checkpoint(spark, str(folder))
-    assert [r.url for r in K.processed_urls(read).collect()] == ["u1"]
+    (folder / "a.json").write_text('{"url": "u1", "html": "h"}\n{"html": "no url"}\n{"url": "u1"}\n')
     row = spark.createDataFrame([("u2", "h", True, "archive", "t", "g")], CHECKPOINT)
-    tables.append_checkpoint(row, str(folder))
+    tables.write_checkpoint_lines(row, str(folder))
     tables.finalise(spark, str(folder), str(tmp_path / "final"))
     assert spark.read.parquet(str(tmp_path / "final")).schema == CHECKPOINT
+    (folder / "b.json").write_text("{oops\n")
+    read = tables.read_checkpoint_lines(spark, str(folder))
+    assert sorted(r.url for r in K.processed_urls(read).collect()) == ["u1", "u2"]
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        tables.finalise(spark, str(folder), str(tmp_path / "bad"))
+
+
+def test_checkpoint_by_status(spark, tmp_path):
+    folder = str(tmp_path / "ck")
+    rows = [("u1", "h", True, "archive", "t", "g", None), ("u2", "h", True, None, None, None, "broken")]
+    records = spark.createDataFrame(rows, f"{CHECKPOINT.simpleString()[7:-1].replace(':', ' ')}, error string")
+    for run in ("one", "two"):
+        tables.append_checkpoint(records, folder, run)
+    assert [r.url for r in tables.read_checkpoint(spark, folder).collect()] == ["u1", "u1"]
+    assert [tuple(r) for r in tables.read_failures(spark, folder, "two").collect()] == [("u2", "broken")]
+    plan = tables.read_checkpoint(spark, folder).select("url")._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<url:string>" in plan
 
 
 def test_state_file(spark, tmp_path):
     path = str(tmp_path / "state")
-    assert tables.load_state(spark, path) == 0
+    assert tables.load_state(spark, path).collect() == []
+    tables.save_state(spark.createDataFrame([("a", 17, 2), ("b", 5, 0)], "shard string, token_count long, batch long"), path)
+    assert sorted(tuple(r) for r in tables.load_state(spark, path).collect()) == [("a", 17, 2), ("b", 5, 0)]
     tables.save_state(spark.createDataFrame([(17, 2)], "token_count long, batch long"), path)
-    assert tables.load_state(spark, path) == 17
+    assert [tuple(r) for r in tables.load_state(spark, path).collect()] == [("", 17, 2)]
 
 
 def test_resume(spark):
@@ -140,7 +160,9 @@ def test_resume(spark):
     assert strict == {2: "duplicate", 3: None}
     compat = {r.seq: r.reject_reason for r in K.resume_decision(pages, done, compat=True).collect()}
     assert compat == {2: None, 3: None}
-    assert [r.seq for r in K.resume_pages(pages.withColumn("html", F.lit("")), done).collect()] == [3]
+    known = spark.createDataFrame([("http://a.com/x", False)], "url string, accepted boolean")
+    again = {r.seq: r.reject_reason for r in K.resume_decision(pages, known).collect()}
+    assert again == {2: None, 3: None}
 
 
 def test_checkpoint_records(spark):

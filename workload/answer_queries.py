@@ -52,6 +52,7 @@ def annotation_pages(spark, sf):
         page["source"]["warc_record_id"].alias("warc_record_id"),
         F.size(page["items"]).alias("annotations"),
         page["items"][0]["body"]["value"].alias("first_value"),
+        "page_keys",
     )
 
 
@@ -123,13 +124,12 @@ def entity_files(spark, sf):
 
 
 def dictionary_entities(spark, sf):
-    """Names cut from ``benchmark`` found in whole ``documents``."""
-    three = F.slice(A.words(F.col("text")), 1, 3)
+    """Whole ``benchmark`` passages as names, found in whole ``documents``."""
     kinds = F.array(*[F.lit(k) for k in ("artist", "work", "location")])
     names = (
         C.table(spark, sf, "benchmark")
         .select(
-            F.array_join(three, " ").alias("name"),
+            F.array_join(A.words(F.col("text")), " ").alias("name"),
             F.get(kinds, (F.col("item_id") % 3).cast("int")).alias("type"),
         )
         .distinct()
@@ -139,16 +139,17 @@ def dictionary_entities(spark, sf):
 
 
 def annotated_text_entities(spark, sf):
-    """Names found in annotated text alone: the first two words of every ``h1``."""
+    """Names found in annotated text alone: the words and the whole text of every ``h1``."""
     parsed = html_blocks(C.spread_pages(spark, sf), with_text=False)
     found = A.rule_annotate(parsed).select("page_id", "pos", F.col("annotation.body.value").alias("text"))
+    said = A.words(F.col("b.own_text"))
     titles = (
         parsed.select(F.explode("blocks").alias("b"))
         .where("b.tag = 'h1'")
-        .select(F.array_join(F.slice(A.words(F.col("b.own_text")), 1, 2), " ").alias("name"), F.lit("work").alias("type"))
+        .select(F.explode(F.concat(said, F.array(F.array_join(said, " ")))).alias("name"), F.lit("work").alias("type"))
         .distinct()
     )
-    return A.dictionary_entities(found, titles, max_words=2)
+    return A.dictionary_entities(found, titles)
 
 
 def _answer_model():
@@ -188,7 +189,7 @@ def model_url_choice(spark, sf):
 
 def rule_url_choice(spark, sf):
     pages = C.pages(spark, sf).select("page_id", "url")
-    return A.classify(pages, ~F.col("url").contains("spam-farm"))
+    return A.classify(pages, ~F.col("url").contains("spam-farm")).drop("llm_decision_error")
 
 
 def annotation_slug(spark, sf):
@@ -244,19 +245,9 @@ _SHAPE = """case when kind in (0, 1) then 'typed' when kind = 2 then 'untyped' w
             when kind in (4, 5) then 'none' else 'malformed' end"""
 
 
-def _runs(source: str, key: str, longest: int) -> str:
-    """Distinct runs of 1 to ``longest`` words of a text column."""
-    following = ", ".join(
-        f"lead(word, {n}) over (partition by {key} order by i) as w{n}" for n in range(1, longest)
-    )
-    parts = " union ".join(
-        f"select {key}, word" + "".join(f" || ' ' || w{m}" for m in range(1, n)) + " as run from spread"
-        for n in range(1, longest + 1)
-    )
-    return f"""listed_words as (
-      select {key}, unnest(words) as word, generate_subscripts(words, 1) as i
-      from (select {key}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') as words from {source})
-    ), spread as (select {key}, word, {following} from listed_words), runs as ({parts})"""
+def _words(text: str) -> str:
+    """The lower-cased words of a text between single spaces."""
+    return f"' ' || array_to_string(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+'), ' ') || ' '"
 
 
 ORACLES = {
@@ -271,7 +262,8 @@ ORACLES = {
         case when kind > 1 then 'http://www.w3.org/ns/anno.jsonld' end as context,
         'AnnotationPage' as type, 'urn:uuid:collection-001' as part_of, '2026-01-01T00:00:00Z' as created,
         'pageloom' as generator_name, warc_record_id,
-        case when kind = 2 then 1 else 2 end as annotations, url as first_value
+        case when kind = 2 then 1 else 2 end as annotations, url as first_value,
+        case when kind = 0 then '{{"label":["own ' || page_id || '"]}}' when kind = 1 then '{{}}' end as page_keys
         from base where kind < 4""",
     "page_numbers": f"""{_PAGES} select page_id, row_number() over (order by page_id) as page_number
         from base where kind < 4""",
@@ -289,17 +281,16 @@ ORACLES = {
         from entities group by 1""",
     "entity_files": f"{_ENTITIES} select name, type, url, warc_record_id from entities",
     "dictionary_entities": f"""with names as (
-          select distinct array_to_string(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')[1:3], ' ') as name,
-            ['artist', 'work', 'location'][item_id % 3 + 1] as type from benchmark
-        ), {_runs('documents', 'doc_id', 3)}
-        select doc_id, name, type from runs join names on run = name where name <> ''""",
+          select distinct {_words('text')} as name, ['artist', 'work', 'location'][item_id % 3 + 1] as type from benchmark
+        ), texts as (select doc_id, {_words('text')} as text from documents)
+        select doc_id, trim(name) as name, type from texts join names on contains(text, name) where trim(name) <> ''""",
     "annotated_text_entities": f"""with recursive {SQL_BLOCKS},
+        titles as (select {_words('own_text')} as title from blocks where tag = 'h1'),
         names as (
-          select distinct array_to_string(regexp_extract_all(lower(own_text), '[\\p{{L}}\\p{{N}}]+')[1:2], ' ') as name
-          from blocks where tag = 'h1'
-        ), found as (select page_id, pos, value as text from substantial),
-        {_runs('found', 'page_id, pos', 2)}
-        select page_id, pos, name, 'work' as type from runs join names on run = name where name <> ''""",
+          select title as name from titles union select ' ' || unnest(string_split(trim(title), ' ')) || ' ' from titles
+        ), found as (select page_id, pos, {_words('value')} as text from substantial)
+        select page_id, pos, trim(name) as name, 'work' as type from found join names on contains(text, name)
+        where trim(name) <> ''""",
     "model_annotations": f"""with recursive {SQL_BLOCKS}
         select page_id, 'urn:m:' || url as annotation_id, split_part(processed_html, chr(10), 1) as value
         from rendered join pages using (page_id)""",

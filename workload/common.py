@@ -53,7 +53,7 @@ parts as (
   from named
 )
 select page_id, url, case kind
-  when 0 then concat('{"annotationPage":{"type":"AnnotationPage","items":[', a0, ',', a1,
+  when 0 then concat('{"annotationPage":{"type":"AnnotationPage","label":["own ', page_id, '"],"items":[', a0, ',', a1,
     ']},"entities":[', e0, ',', e1, ']}')
   when 1 then concat('{"annotationPage":{"type":"AnnotationPage","id":"urn:own:', page_id, '","items":[',
     a0, ',', a1, ']},"entities":[', e0, ',', e1, ']}')

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from pageloom.functions.names import container_slug
@@ -46,7 +48,7 @@ def _turns(spark, sf):
     """A turn of the assistant is an answer, any other one a prompt."""
     tokens, answer = token_estimate(F.col("text")), F.col("role") == "assistant"
     return C.table(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"),
+        (F.col("conv_id") * (1 << 20) + F.col("turn")).alias("seq"),
         F.when(answer, 0).otherwise(tokens).alias("prompt_tokens"),
         F.when(answer, tokens).otherwise(0).alias("completion_tokens"),
         (F.col("conv_id") % 3).cast("string").alias("shard"),
@@ -87,7 +89,7 @@ def _store(spark, sf):
 def _doubled(spark, sf):
     """Every annotation comes twice, as from two crawls of a page."""
     once = C.incoming(spark, sf).drop("url")
-    return once.unionByName(once.withColumn("page_id", F.col("page_id") + 1_000_000))
+    return once.unionByName(once.withColumn("page_id", F.col("page_id") + (1 << 40)))
 
 
 def annotation_upsert(spark, sf):
@@ -132,6 +134,9 @@ def run_container(spark, sf):
     return S.run_container(pages, C.COLLECTION_ID, "Annotations").withColumnRenamed("@context", "context")
 
 
+PAGES_PER_PART = 10_000
+
+
 def _collections(spark, sf):
     """A collection per archive file, of the pages that have annotations."""
     made = annotation_pages(C.parsed(spark, sf), C.COLLECTION_ID, GENERATOR, seq="page_id")
@@ -145,13 +150,14 @@ def _collections(spark, sf):
         shared_table(nested),
         F.concat(F.lit("Set - "), F.col("name")),
         F.concat(F.lit("urn:c:"), F.col("name")),
+        pages_per_part=PAGES_PER_PART,
     )
 
 
 def collection_assemble(spark, sf):
     """The documents, flattened again in page order."""
-    pages = _collections(spark, sf).select("id", "label", F.posexplode("items").alias("nr", "page"))
-    return pages.select("id", "label", "nr", F.col("page.id").alias("annotation_page_id"), F.size("page.items").alias("annotations"))
+    pages = _collections(spark, sf).select("id", "label", "first_page", F.posexplode("items").alias("nr", "page"))
+    return pages.select("id", "label", (F.col("first_page") + F.col("nr")).alias("nr"), F.col("page.id").alias("annotation_page_id"), F.size("page.items").alias("annotations"))
 
 
 def collection_stats(spark, sf):
@@ -213,9 +219,9 @@ def checkpoint_records(spark, sf):
 def checkpoint_files(spark, sf):
     """Records appended as JSON, read for resuming and turned into Parquet."""
     records, final = shared_folder(spark), shared_folder(spark)
-    tables.append_checkpoint(K.checkpoint_records(_decided(spark, sf)), records)
+    tables.write_checkpoint_lines(K.checkpoint_records(_decided(spark, sf)), records)
     tables.finalise(spark, records, final)
-    done = K.processed_urls(tables.read_checkpoint(spark, records))
+    done = K.processed_urls(tables.read_checkpoint_lines(spark, records))
     return spark.read.parquet(final).join(done, "url", "left_semi").drop("html")
 
 
@@ -241,12 +247,54 @@ def resume_run(spark, sf):
     pages = _crawl_pages(spark, sf)
     runs.resume_crawl(spark, pages.where(F.col("url").startswith("http:")), folder, choose)
     runs.resume_crawl(spark, pages, folder, choose)
-    return tables.read_checkpoint(spark, folder).select(
+    return tables.read_checkpoint(spark, f"{folder}/records").select(
         "url", "heuristic_decision", "llm_decision", F.col("processed_html").isNotNull().alias("processed"),
         F.length("html").cast("bigint").alias("html_chars"),
     )
 
 
+def _failing_model():
+    def call(prompts):
+        if any(len(p.split("\n")[0]) % 5 == 0 for p in prompts):
+            raise ValueError("no answer")
+        return [_model_answer(p.split("\n")[0]) for p in prompts]
+
+    return call
+
+
+def _working_model():
+    return lambda prompts: [_model_answer(p.split("\n")[0]) for p in prompts]
+
+
+def _model_answer(url):
+    return json.dumps({"annotationPage": {"items": [{"id": "urn:m:" + url}]}, "entities": [{"name": url, "type": "work"}]})
+
+
+def _failed_and_resumed(spark, sf):
+    """A run whose model fails for some pages, and one after it whose model works."""
+    folder = shared_folder(spark)
+    pages, choose = _crawl_pages(spark, sf), ~F.col("url").contains("/de/")
+    first = runs.resume_crawl(spark, pages, folder, choose, _failing_model)
+    return folder, first, runs.resume_crawl(spark, pages, folder, choose, _working_model)
+
+
+def resume_after_failure(spark, sf):
+    """Every URL has one record after the second run, and the failed ones have their answers."""
+    folder, first, _ = _failed_and_resumed(spark, sf)
+    again = first.failures.select("url", F.lit(True).alias("failed_once"))
+    records = tables.read_checkpoint(spark, f"{folder}/records")
+    return records.join(again, "url", "left").select(
+        "url", "llm_decision", F.col("generated_annotation").isNotNull().alias("answered"),
+        F.coalesce("failed_once", F.lit(False)).alias("failed_once"),
+    )
+
+
+def resume_entities(spark, sf):
+    folder, _, _ = _failed_and_resumed(spark, sf)
+    lines = tables.read_entities(spark, f"{folder}/entities/worker=*")
+    return lines.select("entity.name", "entity.type", "source.url", "source.warc_record_id")
+
+
 def reload_run(spark, sf):
     folder = shared_folder(spark)
     tables.write_collection(_collections(spark, sf), folder)
@@ -345,7 +393,8 @@ QUERIES = {
         container_deleted, get_container, run_container, collection_assemble, collection_stats,
         collection_flatten, load_collection, collection_files, resume_unprocessed, resume_decision,
         resume_decision_compat, checkpoint_records, checkpoint_files, run_summary,
-        crawl_run_summary, resume_run, reload_run, warc_scan, warc_urls, warc_stats,
+        crawl_run_summary, resume_run, resume_after_failure,
+        resume_entities, reload_run, warc_scan, warc_urls, warc_stats,
         warc_record_counts, stream_first_seen, stream_first_seen_ordered, stream_upsert,
         stream_token_batches, stream_entities,
     )
@@ -357,7 +406,7 @@ _TOKENS = r"len(regexp_extract_all(text, '\p{L}{1,5}|\p{N}{1,3}|[^\s\p{L}\p{N}]'
 
 def _fold(budget: int, shard: str) -> str:
     return f"""with recursive turns as (
-      select conv_id * 1000 + turn as seq, {shard} as shard,
+      select conv_id * 1048576 + turn as seq, {shard} as shard,
         case when role = 'assistant' then 0 else {_TOKENS} end as p,
         case when role = 'assistant' then {_TOKENS} else 0 end as c,
         row_number() over (partition by {shard} order by conv_id, turn) as nr
@@ -383,7 +432,7 @@ _COUNTS = """counts as (
     2 * count(*) - count(*) filter (where starts_with(url, 'http:')) as annotations_skipped
   from incoming group by 1)"""
 _COLLECTIONS = f"""with {C.SQL_ANNOTATIONS}, members as (
-  select page_id, kind, warc_filename, (row_number() over (partition by warc_filename order by page_id) - 1)::integer as nr,
+  select page_id, kind, warc_filename, (row_number() over (partition by warc_filename order by page_id) - 1) as nr,
     row_number() over (order by page_id) as page_number, case when kind = 2 then 1 else 2 end as n
   from base where kind < 4)"""
 _FLATTENED = f"""{_COLLECTIONS} select container_slug, annotation_slug, payload, nr as seq, i.pos
@@ -458,6 +507,13 @@ ORACLES = {
         select j.url, ok as heuristic_decision,
           case when ok then case when chosen then 'archive' else 'skip' end end as llm_decision,
           ok and chosen as processed, length(p.html) as html_chars from judged j join pages p using (page_id)""",
+    "resume_after_failure": f"""with {SQL_CANONICAL}, judged as (
+          select url, reject_reason is null as ok, not contains(url, '/de/') as chosen from decided)
+        select url, case when ok then case when chosen then 'archive' else 'skip' end end as llm_decision,
+          ok and chosen as answered, ok and chosen and length(url) % 5 = 0 as failed_once from judged""",
+    "resume_entities": f"""with {SQL_CANONICAL}
+        select url as name, 'work' as type, url, '<urn:uuid:' || page_id || '>' as warc_record_id
+        from decided where reject_reason is null and not contains(url, '/de/')""",
     "reload_run": f"""{_EXISTING} select container_slug, true as container_created,
         count(*) as annotations_uploaded, 0::bigint as annotations_skipped, 0::bigint as errors from incoming group by 1""",
     "warc_scan": """select url, html, '<urn:uuid:' || page_id || '>' as warc_record_id,
