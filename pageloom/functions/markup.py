@@ -29,18 +29,25 @@ _ASCII_SPACE = re.compile(r"[ \n\t\f\r]*\Z")
 class _Open:
     """An open element on the stack."""
 
-    __slots__ = ("name", "ordinal", "block", "children")
+    __slots__ = ("name", "ordinal", "parent", "block", "children")
 
-    def __init__(self, name, ordinal):
-        self.name, self.ordinal = name, ordinal
+    def __init__(self, name, ordinal, parent):
+        self.name, self.ordinal, self.parent = name, ordinal, parent
         self.block = self.children = None
 
+    def xpath(self):
+        steps, at = [], self
+        while at.parent is not None:
+            steps.append(f"/{at.name}[{at.ordinal}]")
+            at = at.parent
+        return "".join(reversed(steps))
+
 
 class _Block:
-    __slots__ = ("tag", "start", "end", "direct", "own", "src", "alt", "xpath", "in_nav")
+    __slots__ = ("tag", "start", "end", "direct", "own", "src", "alt", "element", "in_nav")
 
-    def __init__(self, tag, start, xpath, in_nav):
-        self.tag, self.start, self.xpath, self.in_nav = tag, start, xpath, in_nav
+    def __init__(self, tag, start, element, in_nav):
+        self.tag, self.start, self.element, self.in_nav = tag, start, element, in_nav
         self.end = None
         self.direct, self.own = [], []
         self.src = self.alt = None
@@ -55,7 +62,7 @@ class PageBlocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=False)
-        self.stack = [_Open("", 0)]
+        self.stack = [_Open("", 0, None)]
         self.open_blocks = []
         self.open_names = {}
         self.removed = self.own_kind = self.preformatted = 0
@@ -105,11 +112,10 @@ class PageBlocks(HTMLParser):
         if parent.children is None:
             parent.children = {}
         ordinal = parent.children[tag] = parent.children.get(tag, 0) + 1
-        element = _Open(tag, ordinal)
+        element = _Open(tag, ordinal, parent)
         self.stack.append(element)
         if tag in KEPT and not self.removed:
-            xpath = "".join([f"/{e.name}[{e.ordinal}]" for e in self.stack[1:]])
-            block = _Block(tag, len(self.strings), xpath, bool(self.open_names.get("nav")))
+            block = _Block(tag, len(self.strings), element, bool(self.open_names.get("nav")))
             if tag == "img":
                 values = dict(attrs)
                 block.src = values.get("src") or ""
@@ -187,12 +193,13 @@ class PageBlocks(HTMLParser):
         while len(self.stack) > 1:
             self._pop()
 
-    def rows(self, with_text=True):
+    def rows(self, with_text=True, least_own=0):
         """(tag, text, own_text, src, alt, xpath, in_nav) per block.
 
         ``text`` follows the rendering rules: stripped strings of the subtree joined
         without a space, or the direct text of a ``div``; a ``div`` without any is left
         out. ``own_text`` is the text that no deeper block holds, white space collapsed.
+        A block with less than ``least_own`` characters of it gets no ``xpath``.
         """
         for b in self.blocks:
             text = None
@@ -203,10 +210,11 @@ class PageBlocks(HTMLParser):
             elif b.tag != "img" and with_text:
                 text = "".join(self.strings[b.start : b.end])
             own = " ".join("".join(b.own).split())
-            yield b.tag, text if with_text else None, own, b.src, b.alt, b.xpath, b.in_nav
+            xpath = b.element.xpath() if len(own) >= least_own else None
+            yield b.tag, text if with_text else None, own, b.src, b.alt, xpath, b.in_nav
 
 
-def page_blocks(page: str, with_text: bool = True):
+def page_blocks(page: str, with_text: bool = True, least_own: int = 0):
     """``(rows, error)``: markup the tokenizer rejects gives no rows and its message."""
     parser = PageBlocks()
     try:
@@ -215,4 +223,4 @@ def page_blocks(page: str, with_text: bool = True):
         parser.finish()
     except AssertionError as problem:
         return [], str(problem) or "rejected markup"
-    return list(parser.rows(with_text)), None
+    return list(parser.rows(with_text, least_own)), None

@@ -13,12 +13,12 @@ from pageloom.functions.markup import page_blocks
 from pageloom.schemas import BLOCK
 
 
-def _block_lists(pages: list, with_text: bool) -> tuple[pa.Array, pa.Array]:
+def _block_lists(pages: list, with_text: bool, least_own: int) -> tuple[pa.Array, pa.Array]:
     """Arrow columns ``blocks`` and ``html_error`` of a batch of pages."""
     offsets, pos, errors = [0], [], []
     columns: tuple[list, ...] = tuple([] for _ in range(7))
     for page in pages:
-        rows, error = ([], None) if page is None else page_blocks(page, with_text)
+        rows, error = ([], None) if page is None else page_blocks(page, with_text, least_own)
         for number, row in enumerate(rows):
             pos.append(number)
             for column, value in zip(columns, row):
@@ -35,7 +35,7 @@ def _block_lists(pages: list, with_text: bool) -> tuple[pa.Array, pa.Array]:
 
 
 def html_blocks(
-    df: DataFrame, html: str = "html", with_text: bool = True, keep_html: bool = False, wanted: str | None = None
+    df: DataFrame, html: str = "html", with_text: bool = True, keep_html: bool = False, wanted: str | None = None, least_own: int = 0
 ) -> DataFrame:
     """Replace the ``html`` column by ``blocks ARRAY<STRUCT>`` and ``html_error``.
 
@@ -43,7 +43,8 @@ def html_blocks(
     nested unclosed paragraphs repeats, so it can outgrow the page; ``with_text=False``
     leaves it NULL for callers that read ``own_text`` alone. ``keep_html`` keeps the page. Filter on the URL before this
     step, since no filter moves below it, or name a boolean column ``wanted``: rows where it is
-    not true go through without blocks.
+    not true go through without blocks. ``least_own`` gives an XPath only to blocks of so many
+    characters of own text, for rules that take no shorter ones.
     """
     others = [f for f in df.schema.fields if f.name != html]
     kept = [df.schema[html], *others] if keep_html else others
@@ -59,7 +60,7 @@ def html_blocks(
                 if wanted is not None:
                     flags = part.column(part.schema.get_field_index(wanted)).to_pylist()
                     pages = [page if flag else None for page, flag in zip(pages, flags, strict=True)]
-                blocks, errors = _block_lists(pages, with_text)
+                blocks, errors = _block_lists(pages, with_text, least_own)
                 yield pa.RecordBatch.from_arrays([*part.columns[first:], blocks, errors], names)
 
     schema = T.StructType(

@@ -71,13 +71,13 @@ def page_annotations(pages: DataFrame, url: str = "url", seq: str = "seq") -> Da
     URL columns are judged before any page is parsed, and only ``own_text`` is built.
     """
     accepted = first_seen(pages, url, seq, write_repeats=True)
-    return A.rule_annotate(html_blocks(accepted, with_text=False), url)
+    return A.rule_annotate(html_blocks(accepted, with_text=False, least_own=A.MIN_CHARACTERS), url)
 
 
 def answers(accepted: DataFrame, model: Model | None) -> DataFrame:
     """``response`` and ``response_error`` per accepted page, by the user's model or by the written rules."""
     if model is None:
-        ruled = A.rule_response(html_blocks(accepted, with_text=False))
+        ruled = A.rule_response(html_blocks(accepted, with_text=False, least_own=A.MIN_CHARACTERS))
         return ruled.withColumn("response_error", F.lit(None).cast("string"))
     prompts = html_blocks(accepted).withColumn(
         "prompt", prompt_text(F.col("url"), processed_html(F.col("blocks")))

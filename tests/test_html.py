@@ -95,3 +95,12 @@ def test_many_pages_keep_their_rows(spark):
     pages = spark.range(1000).select("id", F.concat(F.lit("<p>"), "id", F.lit("<p>x")).alias("html"))
     got = html_blocks(pages).where(F.col("blocks")[0]["text"] == F.concat("id", F.lit("x")))
     assert got.count() == 1000
+
+
+def test_many_unclosed_tags_take_linear_time():
+    """A megabyte of unclosed paragraphs, as the rules read it."""
+    page = "<p>x" * 250_000 + "<p>" + "A long sentence that counts. " * 3
+    rows, error = page_blocks(page, with_text=False, least_own=50)
+    assert error is None and len(rows) == 250_001
+    assert [r[5] is not None for r in rows].count(True) == 1
+    assert rows[-1][5].startswith("/p[1]/p[1]/") and rows[-1][5].count("/") == 250_001
