@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import importlib.util
 import zlib
 from typing import BinaryIO, NamedTuple
 
 CHUNK = 1 << 20
 GZIP_START = b"\x1f\x8b\x08"
 PLAIN_START = b"WARC/"
+_HAS_BROTLI = importlib.util.find_spec("brotli") is not None
 
 
 class Record(NamedTuple):
@@ -16,6 +18,7 @@ class Record(NamedTuple):
     headers: dict
     http: dict
     body: bytes | None
+    error: str | None
 
 
 class ByteStream:
@@ -32,6 +35,8 @@ class ByteStream:
         self.inflate = None
         self.buffer = bytearray()
         self.member = start
+        # Bytes that the last read did not find.
+        self.missing = 0
 
     def _raw(self) -> bytes:
         return self.raw or self.file.read(CHUNK)
@@ -105,6 +110,7 @@ class ByteStream:
             size -= len(data)
             if keep:
                 parts.append(data)
+        self.missing = size
         return b"".join(parts)
 
 
@@ -185,11 +191,9 @@ def _unchunked(data: bytes) -> bytes:
 
 
 def _inflated(data: bytes, encoding: str) -> bytes:
-    if encoding == "br":
-        try:
-            import brotli
-        except ImportError:
-            return data
+    if encoding == "br" and _HAS_BROTLI:
+        import brotli
+
         return brotli.decompress(data)
     modes = {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}.get(encoding, ())
     for mode in modes:
@@ -268,7 +272,10 @@ def read_records(file: BinaryIO, size: int, start: int, end: int, types, wants_b
         else:
             stream.read(left, keep=False)
             body = None
-        yield Record(offset, ordinal, headers, http, body)
+        error = f"{stream.missing} bytes are missing" if stream.missing > 0 else None
+        if error is None and body is not None and http.get("content-encoding", "").strip().lower() == "br" and not _HAS_BROTLI:
+            error = "the body is left in the encoding br"
+        yield Record(offset, ordinal, headers, http, body, error)
     if end < size:
         seen = find_start(file, end, min(offset + 1, size), is_gzip)
         if seen != (offset if offset < size else None):

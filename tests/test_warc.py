@@ -126,8 +126,33 @@ def test_broken_archives(spark, tmp_path):
     (tmp_path / "cut.warc.gz").write_bytes(b"".join(map(gzip_member, RECORDS[2:5]))[:-20])
     got = warc.html_responses(warc.read_warc(spark, str(tmp_path / "cut.warc.gz"))).collect()
     assert {r.url for r in got} == {"http://a/1", "http://a/2", "http://a/3"}
+    errors = warc.read_warc(spark, str(tmp_path / "cut.warc.gz")).orderBy("seq").collect()
+    assert [r.record_error is None for r in errors] == [True, True, False] and "missing" in errors[2].record_error
     (tmp_path / "bad.warc").write_bytes(b"this is no archive\r\n")
     with pytest.raises(Exception, match="no record starts"):
         warc.read_warc(spark, str(tmp_path / "bad.warc")).collect()
     (tmp_path / "empty.warc").write_bytes(b"")
     assert warc.read_warc(spark, str(tmp_path / "empty.warc")).count() == 0
+
+
+def test_many_records_in_a_member_have_their_own_seq(spark, tmp_path):
+    member = gzip_member(record("metadata", b"") * 3_000)
+    (tmp_path / "a.warc.gz").write_bytes(member + gzip_member(RECORDS[2]) * 2)
+    for split in (0, 1 << 30):
+        rows = warc.read_warc(spark, str(tmp_path), split_bytes=split).orderBy("seq").collect()
+        assert len({r.seq for r in rows}) == 3_002
+        assert [r.rec_type for r in rows] == ["metadata"] * 3_000 + ["response"] * 2
+
+
+def test_patterns_and_stores(spark, folder, monkeypatch):
+    assert warc.read_warc(spark, f"{folder}/a-*.gz").count() == 1
+    assert warc.read_warc(spark, f"{folder}/[ab]-?.warc*").count() == 16
+    opened = {}
+    monkeypatch.setattr(warc.pafs, "S3FileSystem", lambda **k: opened.update(k) or "s3")
+    assert warc.open_folder("s3a://bucket/x", {"fs.s3a.access.key": "k", "fs.s3a.endpoint": ""}) == ("s3", "bucket/x")
+    assert opened == {"access_key": "k"}
+    seen = []
+    monkeypatch.setattr(warc.pafs, "FileSystem", type("F", (), {"from_uri": staticmethod(seen.append)}))
+    warc.open_folder("abfss://c@a.dfs.core.windows.net/x")
+    warc.open_folder("hdfs://n:8020/x")
+    assert seen == ["abfs://c@a.dfs.core.windows.net/x", "hdfs://n:8020/x"]
