@@ -101,13 +101,9 @@ def budget_job(
 
     def work(batch: DataFrame, batch_id: int) -> None:
         schema = "token_count bigint, batch bigint"
-        last = (
-            _earlier(batch.sparkSession, state, batch_id, schema)
-            .orderBy(F.desc("batch_id"))
-            .select("token_count", "batch")
-            .take(1)
-        )
-        used, number = last[0] if last else (0, 0)
+        # Every batch leaves one row, so the one before it is all there is to read.
+        last = batch.sparkSession.read.schema(schema).parquet(f"{state}/batch_id={batch_id - 1}").first() if batch_id else None
+        used, number = last or (0, 0)
         args = (budget, seq, prompt, completion, None, used, number)
         _write_batch(token_batches(batch, *args), output, batch_id)
         after = token_state(batch, *args)

@@ -328,14 +328,17 @@ def warc_record_counts(spark, sf):
 # --- streams
 
 
-def _page_stream(spark, sf):
-    schema = "page_id bigint, url string, html string"
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "pages.parquet")
-        .parquet(sf)
-        .select(F.col("page_id").alias("seq"), "url")
-    )
+def _in_parts(rows, source, job):
+    """Feed rows in three parts in the order of ``seq``; the job is started anew for each."""
+    low, high = rows.approxQuantile("seq", [0.33, 0.67], 0.05) or (0, 0)
+    for part in (F.col("seq") <= low, (F.col("seq") > low) & (F.col("seq") <= high), F.col("seq") > high):
+        rows.where(part).write.mode("append").parquet(source)
+        stream = rows.sparkSession.readStream.schema(rows.schema).parquet(source)
+        job(stream).trigger(availableNow=True).start().awaitTermination()
+
+
+def _page_urls(spark, sf):
+    return C.pages(spark, sf).select(F.col("page_id").alias("seq"), "url")
 
 
 def _finish(writer):
@@ -343,33 +346,33 @@ def _finish(writer):
 
 
 def stream_first_seen(spark, sf):
-    output, checkpoint = shared_folder(spark), shared_folder(spark)
-    kept = jobs.first_seen_stream(_page_stream(spark, sf)).select("canonical_url")
-    _finish(kept.writeStream.format("parquet").option("path", output).option("checkpointLocation", checkpoint))
+    source, output, checkpoint = (shared_folder(spark) for _ in range(3))
+
+    def job(stream):
+        kept = jobs.first_seen_stream(stream).select("canonical_url")
+        return kept.writeStream.format("parquet").option("path", output).option("checkpointLocation", checkpoint)
+
+    _in_parts(_page_urls(spark, sf), source, job)
     return spark.read.parquet(output)
 
 
 def stream_first_seen_ordered(spark, sf):
-    output, history, checkpoint = (shared_folder(spark) for _ in range(3))
-    _finish(jobs.first_seen_job(_page_stream(spark, sf), output, history, checkpoint))
+    source, output, history, checkpoint = (shared_folder(spark) for _ in range(4))
+    _in_parts(_page_urls(spark, sf), source, lambda stream: jobs.first_seen_job(stream, output, history, checkpoint))
     return spark.read.parquet(output).select("seq", "url", "canonical_url")
 
 
 def stream_upsert(spark, sf):
     source, store, checkpoint = (shared_folder(spark) for _ in range(3))
     rows = _doubled(spark, sf).withColumnRenamed("page_id", "seq")
-    rows.write.parquet(source)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(source)
-    _finish(jobs.upsert_job(stream, store, checkpoint))
+    _in_parts(rows, source, lambda stream: jobs.upsert_job(stream, store, checkpoint))
     return spark.read.parquet(store).select("container_slug", "annotation_slug", "payload")
 
 
 def stream_token_batches(spark, sf):
     source, output, state, checkpoint = (shared_folder(spark) for _ in range(4))
-    _turns(spark, sf).write.parquet(source)
-    schema = "seq bigint, prompt_tokens bigint, completion_tokens bigint"
-    stream = spark.readStream.schema(schema).parquet(source)
-    _finish(jobs.budget_job(stream, output, state, checkpoint, BUDGET))
+    turns = shared_table(_turns(spark, sf).drop("shard"))
+    _in_parts(turns, source, lambda stream: jobs.budget_job(stream, output, state, checkpoint, BUDGET))
     return spark.read.parquet(output).select("seq", "batch")
 
 
