@@ -112,15 +112,17 @@ def first_seen(
     wide rows by ``seq``. With ``write_repeats`` they go through a table in the shared
     folder first, so that the planner knows their size: below the broadcast threshold the
     wide rows are not shuffled at all, above it they are joined by the evenly spread
-    ``seq``. ``history`` holds canonical URLs of earlier runs; those are repeats too.
+    ``seq``. ``history`` holds canonical URLs of earlier runs; those are repeats too. It meets
+    one row per URL, after the rows of a frequent one are reduced.
     """
     passed = screen_urls(df, url).where("reject_reason is null").drop("reject_reason")
     narrow = passed.select(seq, "canonical_url")
-    fresh = narrow
+    if write_repeats:
+        narrow = shared_table(narrow)
+    fresh = narrow.groupBy("canonical_url").agg(F.min(seq).alias(seq))
     if history is not None:
-        seen = history.select("canonical_url")
-        fresh = narrow.join(seen, "canonical_url", "left_anti")
-    repeats = narrow.select(seq).join(_winners(fresh, seq), seq, "left_anti")
+        fresh = fresh.join(history.select("canonical_url"), "canonical_url", "left_anti")
+    repeats = narrow.select(seq).join(fresh.select(seq), seq, "left_anti")
     if write_repeats:
         repeats = shared_table(repeats)
     return passed.join(repeats, seq, "left_anti")
