@@ -25,26 +25,12 @@ BLOCK = T.StructType(
     ]
 )
 
-ENTITY_TYPES = ("artist", "person", "organization", "work", "location", "other")
 ENTITY = _strings("name", "type")
 ENTITY_SOURCE_FIELDS = ("url", "warc_filename", "warc_date", "warc_record_id", "extracted_at")
 ENTITY_LINE = T.StructType(
     [T.StructField("entity", ENTITY), T.StructField("source", _strings(*ENTITY_SOURCE_FIELDS))]
 )
 
-ANNOTATION = T.StructType(
-    [
-        *[T.StructField(n, _S) for n in ("@context", "id", "type", "motivation", "creator")],
-        T.StructField("body", _strings("type", "value", "format", "language")),
-        T.StructField(
-            "target",
-            T.StructType(
-                [T.StructField("source", _S), T.StructField("selector", _strings("type", "value"))]
-            ),
-        ),
-    ]
-)
-
 # ``payload`` keeps the whole annotation as JSON text without ``id`` and ``created``.
 COLLECTION = T.StructType(
     [
@@ -67,6 +53,3 @@ CHECKPOINT = T.StructType(
         *[T.StructField(n, _S) for n in ("llm_decision", "processed_html", "generated_annotation")],
     ]
 )
-
-STORED_ANNOTATION = _strings("container_slug", "annotation_slug", "payload")
-CONTAINER = _strings("container_slug", "@context", "type", "label")

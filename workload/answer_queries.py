@@ -217,6 +217,15 @@ def label_filename(spark, sf):
     return C.pages(spark, sf).select("page_id", N.label_filename(label).alias("warc_filename"))
 
 
+def archive_names(spark, sf):
+    """The file of every page's archive by its path, and the page's record id without brackets."""
+    warc = C.pages(spark, sf).select("page_id", C.warc().alias("warc"))
+    path = F.concat(F.lit("/crawl/archive/"), F.col("warc.warc_filename"))
+    return warc.select(
+        "page_id", N.base_name(path).alias("file"), N.bare_record_id(F.col("warc.warc_record_id")).alias("record_id")
+    )
+
+
 def worker_names(spark, sf):
     number = F.col("page_id").cast("string")
     name = (
@@ -233,7 +242,7 @@ QUERIES = {
         annotations, entities, entities_by_type, entity_total, entity_type_counts, entity_dedup,
         entity_sample, entity_worker, entity_files, dictionary_entities, annotated_text_entities,
         model_annotations, model_url_choice, rule_url_choice, annotation_slug, container_slug,
-        label_filename, worker_names,
+        label_filename, archive_names, worker_names,
     )
 }
 
@@ -304,6 +313,8 @@ ORACLES = {
           else left(sha256(url), 12) end as container_slug from pages""",
     "label_filename": """select page_id,
         case when page_id % 3 = 0 then 'f-' || page_id || '.warc.gz' end as warc_filename from pages""",
+    "archive_names": """select page_id, 'rec-one-20260101000000000-' || (page_id % 4) || '.warc.gz' as file,
+        'urn:uuid:' || page_id as record_id from pages""",
     "worker_names": """select page_id, case page_id % 3 when 0 then 'worker-' || page_id
         when 1 then 'crawl' || page_id else 'unknown' end as worker from pages""",
 }
