@@ -25,6 +25,15 @@ def check(ours, library, text):
     assert ours.decode(ids) == library.decode(ids), text
 
 
+def test_the_model_fits_the_method(both):
+    """Every piece is what its own merges give, and none scores better than its parts."""
+    ours, _ = both
+    for piece in ours.ids:
+        parts = ours.split(piece)
+        assert parts is not None
+        assert all(len(p) < 2 or ours.scores[p] >= ours.scores[piece] for p in parts)
+
+
 def test_random_texts(both):
     ours, library = both
     rnd = random.Random(1)
