@@ -5,8 +5,8 @@ hash of the ``gram``-token runs in it, so equal windows have equal anchors, and
 windows mostly share one. Five steps, each over all texts:
 
 1. texts are packed into blocks of a few MB, written once;
-2. each block sends 32 bits per distinct anchor to the anchor's bucket, which answers with one bit:
-   does another block hold it;
+2. each block sends 32 bits per distinct anchor, and a hash per text, to a bucket, which answers whether
+   the anchor stands elsewhere, and whether the text is a copy of one of a smaller key, which goes whole;
 3. blocks send the passages around repeated anchors, each different one once, to shards by anchor;
 4. a shard finds the windows that stand earlier in another passage: the operator's own method;
    its answers are written;
@@ -36,6 +36,8 @@ from pageloom.session import shared_table
 
 BLOCK_BYTES = 2 << 20
 SEGMENT = 1 << 19
+# Blocks whose anchors, or passages, fill one bucket or shard.
+BLOCKS_TOGETHER = 8
 HOT = 2_000
 RUN = 1_024
 LAST = np.iinfo(np.int64).max
@@ -64,7 +66,7 @@ class Block:
     def __init__(self, data: bytes, words: bool):
         keys, nulls, lengths, joined, extra = unpacked(data, ["<i8", bool, "<i8", bytes, bytes])
         self.extra = json.loads(extra)
-        self.keys, self.nulls = keys, nulls
+        self.keys, self.nulls, self.order_keys = keys, nulls, np.where(nulls, LAST, keys)
         ends = np.cumsum(lengths)
         self.texts = [joined[e - n : e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
         self.words = None
@@ -202,27 +204,38 @@ class Repeats:
         bucket = ((values >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
         return start, count, values, place, runs, bucket
 
+    def _texts(self, block: Block, buckets: int):
+        """Texts that have a window, by bucket of their hash, where each bucket begins, and the hashes."""
+        own = np.flatnonzero(block.last - block.first >= self.length)
+        hashes = np.array([divmod(xxhash.xxh3_128_intdigest(block.texts[i]), 1 << 64) for i in own], np.uint64).reshape(-1, 2)
+        bucket = (hashes[:, 0] % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        return own[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), hashes[order]
+
     def _ask(self, blocks: DataFrame, buckets: int) -> DataFrame:
         def asked(batches):
             for number, _, _, data in _rows(batches):
-                _, _, values, _, runs, bucket = self._values(Block(data, self.words), buckets)
-                cut = np.searchsorted(bucket, np.arange(buckets + 1))
+                block = Block(data, self.words)
+                _, _, values, _, runs, bucket = self._values(block, buckets)
+                cut = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
                 low = values.astype(np.uint32)
                 many = np.minimum(runs, 255).astype(np.uint8)
+                own, text_cut, hashes = self._texts(block, buckets)
+                key = block.order_keys[own]
                 yield _batch([
-                    (number, 0, i, packed([low[a:b], many[a:b]]))
-                    for i, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if b > a
+                    (number, 0, i, packed([low[a:b], many[a:b], hashes[c:d, 0], hashes[c:d, 1], key[c:d]]))
+                    for i, (a, b, c, d) in enumerate(zip(cut[:-1], cut[1:], text_cut[:-1], text_cut[1:])) if b > a or d > c
                 ])
 
         return blocks.mapInArrow(asked, SCHEMA)
 
-    def _answer(self, asked: DataFrame) -> DataFrame:
+    def _answer(self, asked: DataFrame, buckets: int) -> DataFrame:
         """A row per asking row: is the anchor in several places, is it hot."""
         hot = self.hot
 
         def answered(batches):
             for bucket, rows in _groups(_rows(batches), 2):
-                parts = [unpacked(data, ["<u4", "u1"]) for _, _, _, data in rows]
+                parts = [unpacked(data, ["<u4", "u1", "<u8", "<u8", "<i8"]) for _, _, _, data in rows]
                 low = np.concatenate([p[0] for p in parts])
                 order = np.argsort(low, kind="stable")
                 begin = np.flatnonzero(np.append(True, np.diff(low[order]) != 0)) if len(low) else np.zeros(0, np.int64)
@@ -230,15 +243,21 @@ class Repeats:
                 total = np.repeat(np.add.reduceat(runs, begin), np.diff(np.append(begin, len(low))))
                 found = np.zeros(len(low), np.uint8)
                 found[order] = (total > 1).astype(np.uint8) + (total > hot)
-                ends = np.cumsum([len(p[0]) for p in parts])
+                upper, lower, key = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
+                order = np.lexsort((key, lower, upper))
+                new = np.ones(len(key), bool)
+                new[1:] = (upper[order][1:] != upper[order][:-1]) | (lower[order][1:] != lower[order][:-1])
+                copy = np.zeros(len(key), np.uint8)
+                copy[order] = key[order] > key[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
+                ends, text_ends = np.cumsum([len(p[0]) for p in parts]), np.cumsum([len(p[4]) for p in parts])
                 yield _batch([
-                    (number, 1, bucket, packed([found[e - len(p[0]) : e]]))
-                    for (number, _, _, _), p, e in zip(rows, parts, ends.tolist(), strict=True)
+                    (number, 1, bucket, packed([found[e - len(p[0]) : e], copy[t - len(p[4]) : t]]))
+                    for (number, _, _, _), p, e, t in zip(rows, parts, ends.tolist(), text_ends.tolist(), strict=True)
                 ])
 
-        return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answered, SCHEMA)
+        return asked.repartitionById(buckets, "bucket").mapInArrow(answered, SCHEMA)
 
-    def _passages(self, blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame:
+    def _passages(self, blocks: DataFrame, answers: DataFrame, buckets: int, shards: int) -> DataFrame:
         """Kind 2: passages for a shard. Kind 3: where the block has them, on the way through any shard."""
 
         def sent(batches):
@@ -247,14 +266,18 @@ class Repeats:
                 start, count, values, place, _, bucket = self._values(block, buckets)
                 state = np.zeros(len(values), np.uint8)
                 cut = np.searchsorted(bucket, np.arange(buckets + 1))
+                own, text_cut, _ = self._texts(block, buckets)
+                copy = np.zeros(len(block.texts), bool)
                 for _, _, i, data in rows[1:]:
-                    (state[cut[i] : cut[i + 1]],) = unpacked(data, ["u1"])
-                yield _batch(self._sent(number, block, start, count, values[place], state[place], buckets))
+                    state[cut[i] : cut[i + 1]], copy[own[text_cut[i] : text_cut[i + 1]]] = unpacked(data, ["u1", "u1"])
+                # A copy goes whole, and what it holds stands earlier elsewhere.
+                open_ = ~copy[np.searchsorted(block.first, start, side="right") - 1]
+                yield _batch(self._sent(number, block, copy, start[open_], count[open_], values[place[open_]], state[place[open_]], shards))
 
         joined = blocks.unionByName(answers)
         return joined.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(sent, SCHEMA)
 
-    def _sent(self, number, block, start, count, anchor, state, buckets):
+    def _sent(self, number, block, copy, start, count, anchor, state, shards):
         single = np.flatnonzero(state == 2)
         pick = np.flatnonzero(state == 1)
         start, count, anchor = (
@@ -268,7 +291,7 @@ class Repeats:
             which[i] = texts.setdefault(block.passage(a, a + n + self.length - 1), len(texts))
         names = list(texts)
         text = np.searchsorted(block.first, start, side="right") - 1
-        key = np.where(block.nulls, LAST, block.keys)[text]
+        key = block.order_keys[text]
         at = start - block.first[text]
         order = np.lexsort((at, key, which))
         lead = order[np.append(True, np.diff(which[order]) != 0)] if len(order) else order
@@ -277,14 +300,16 @@ class Repeats:
             first &= at == at[lead][which]
         order = np.argsort(start, kind="stable")
         steps = np.diff(start[order], prepend=0).astype("<u4")
-        yield number, 3, number % buckets, packed([which[order].astype("<u4"), steps, count[order].astype("<u2"), first[order]])
+        yield number, 3, number % shards, packed([
+            which[order].astype("<u4"), steps, count[order].astype("<u2"), first[order], np.flatnonzero(copy).astype("<u4"),
+        ])
         value = anchor[lead]
         hot = np.flatnonzero(value == 0)
         if len(hot):
             value[hot] = np.array([xxhash.xxh64_intdigest(names[i]) for i in hot], np.uint64)
-        shard = (value % np.uint64(buckets)).astype(np.int64)
+        shard = (value % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
-        cut = np.searchsorted(shard[order], np.arange(buckets + 1))
+        cut = np.searchsorted(shard[order], np.arange(shards + 1))
         for i, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
             if b > a:
                 own = order[a:b]
@@ -295,7 +320,7 @@ class Repeats:
                 ])
                 yield number, 2, i, data
 
-    def _judged(self, passages: DataFrame) -> DataFrame:
+    def _judged(self, passages: DataFrame, shards: int) -> DataFrame:
         """Kind 4: for a block, the windows of its passages that stand earlier than all it has of them."""
 
         def judged(batches):
@@ -304,7 +329,7 @@ class Repeats:
                 if rows[0][1] == 2:
                     yield _batch(self._shard([row for row in rows if row[1] == 2]))
 
-        return passages.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(judged, SCHEMA)
+        return passages.repartitionById(shards, "bucket").sortWithinPartitions("kind").mapInArrow(judged, SCHEMA)
 
     def _shard(self, rows):
         parts = [unpacked(data, ["<u4", "<u4", "<i8", "<u4", "<u4", bytes]) for _, _, _, data in rows]
@@ -360,9 +385,9 @@ class Repeats:
         ``extra`` may name a string column to carry along, in place of a join of the texts afterwards.
         """
         blocks = self.blocks(docs, key, text, extra)
-        buckets = max(8, blocks.count() // 4)
-        answers = self._answer(self._ask(blocks, buckets))
-        judged = shared_table(self._judged(self._passages(blocks, answers, buckets)))
+        buckets = shards = max(8, blocks.count() // BLOCKS_TOGETHER)
+        answers = self._answer(self._ask(blocks, buckets), buckets)
+        judged = shared_table(self._judged(self._passages(blocks, answers, buckets, shards), shards))
 
         def cut(batches):
             for _, rows in _groups(_rows(batches), 0):
@@ -374,7 +399,7 @@ class Repeats:
         return (out if extra else out.drop("extra")).withColumnRenamed("key", key)
 
     def _cut(self, block: Block, rows):
-        which, steps, count, first = unpacked(rows[0][3], ["<u4", "<u4", "<u2", bool])
+        which, steps, count, first, copy = unpacked(rows[0][3], ["<u4", "<u4", "<u2", bool, "<u4"])
         start, count = np.cumsum(steps, dtype=np.int64), count.astype(np.int64)
         passages = int(which.max()) + 1 if len(which) else 0
         size = np.zeros(passages, np.int64)
@@ -394,6 +419,8 @@ class Repeats:
         cover = np.zeros(len(block.tokens) + 1, np.int32)
         np.add.at(cover, window, 1)
         np.add.at(cover, window + self.length, -1)
+        np.add.at(cover, block.first[copy], 1)
+        np.add.at(cover, block.last[copy], -1)
         covered = np.cumsum(cover[:-1]) > 0
         removed = np.append(0, np.cumsum(covered))
         begins = covered.copy()
