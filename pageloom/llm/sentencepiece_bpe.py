@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from pageloom.llm.tables import chunks
 
 SPACE = "▁"
-MEMO_UNITS = 150_000
+MEMO_UNITS = 100_000
 MEMO_CHARACTERS = 64
-PAIRS = 500_000
+PAIRS = 200_000
 
 
 class PrefixTable:
