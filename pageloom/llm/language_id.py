@@ -119,30 +119,34 @@ class CrossParser:
 
 
 def learned(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_bytes: int = SAMPLE_BYTES):
-    """Names of the languages and the automaton of each, from at most ``sample_bytes`` of its text.
+    """Names of the languages and the automaton of each, from ``sample_bytes`` of its text, or all if it has less.
 
-    The sample takes the rows of the smallest hashes of the text, of each at most ``SAMPLE_ROW``
-    characters, so it is the same however the rows are dealt out.
+    The sample takes different texts in the order of their hashes, of each at most ``SAMPLE_ROW``
+    characters, so it is the same however the rows are dealt out and however often they repeat.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(HAS_LETTER)).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text")
+        F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_ROW).alias("text"), F.xxhash64(text).alias("h")
     )
-    most = max(1, 2 * sample_bytes // SAMPLE_ROW)
-    counts = {r.lang: r.n for r in labelled.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return [], []
-    # Hashes below this leave several times the rows that are needed, whatever the size of the table.
-    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 8.0 * most / n))))
-    h = F.xxhash64("text")
-    near = rows.select("lang", F.substring("text", 1, SAMPLE_ROW).alias("text"), h.alias("h")).where(
-        (F.col("h") / float(1 << 64) + 0.5) <= share[F.col("lang")]
-    )
-    nr = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    picked = near.withColumn("nr", nr).where(F.col("nr") <= most).collect()
-    texts: dict[str, list[bytes]] = {}
-    for row in sorted(picked, key=lambda r: (r.lang, r.nr)):
-        texts.setdefault(row.lang, []).append(row.text.encode())
-    names = sorted(texts)
+    # As long as squeezed() makes it.
+    size = F.octet_length(F.regexp_replace("text", r"[\x00-\x7F&&[^a-zA-Z]]+", " "))
+    lengths = rows.groupBy("lang", "h").agg(F.min(size).alias("size")).groupBy("lang").agg(F.sum("size").alias("size")).collect()
+    picked, total, factor = {}, {r.lang: r.size for r in lengths}, 4.0
+    while total:
+        # Hashes below this leave several times the text that is needed, whatever the size of the table.
+        shares = {k: min(1.0, factor * sample_bytes / max(n, 1)) for k, n in total.items()}
+        share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
+        near = rows.where((F.col("h") / float(1 << 64) + 0.5) <= share[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+        before = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+        for row in near.withColumn("before", F.coalesce(F.sum(size).over(before), F.lit(0))).where(F.col("before") < sample_bytes).collect():
+            picked.setdefault(row.lang, []).append(row)
+        # The rare language of which too little was below is asked again.
+        have = {k: sum(len(squeezed(r.text.encode())) for r in v) for k, v in picked.items()}
+        total = {k: n for k, n in total.items() if shares[k] < 1 and have.get(k, 0) < sample_bytes}
+        factor *= 8
+        for k in total:
+            picked.pop(k, None)
+    names = sorted(picked)
+    texts = {k: [r.text.encode() for r in sorted(picked[k], key=lambda r: r.h)] for k in names}
     return names, [automaton(squeezed(b"\n".join(texts[n]))[:sample_bytes].tobytes()) for n in names]
 
 
