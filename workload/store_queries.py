@@ -331,7 +331,7 @@ def warc_record_counts(spark, sf):
 def _in_parts(rows, source, job):
     """Feed rows in three parts in the order of ``seq``; the job is started anew for each."""
     low, high = rows.approxQuantile("seq", [0.33, 0.67], 0.05) or (0, 0)
-    for part in (F.col("seq") <= low, (F.col("seq") > low) & (F.col("seq") <= high), F.col("seq") > high):
+    for part in (F.col("seq") <= low, (F.col("seq") > low) & (F.col("seq") <= high), F.coalesce(F.col("seq") > high, F.lit(True))):
         rows.where(part).write.mode("append").parquet(source)
         stream = rows.sparkSession.readStream.schema(rows.schema).parquet(source)
         job(stream).trigger(availableNow=True).start().awaitTermination()
