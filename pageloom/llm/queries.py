@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import decontamination, embedding_dedup, language_id, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, token_counts, url_filter, warc_fixity
+from pageloom.llm import decontamination, embedding_dedup, filter_audit, language_id, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, token_counts, url_filter, warc_fixity
 from pageloom.llm.tables import table
 from pageloom.session import shared_table
 
@@ -136,6 +136,68 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark", "item_id", "text"))
 
 
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, by source, and their Shapley values."""
+    docs = table(spark, sf, "documents", "doc_id", "text", "source")
+    return filter_audit.audit(docs, table(spark, sf, "labels", "doc_id", "quality", "toxic"))
+
+
+# The removals are counted document by document along every order, and summed over the orders.
+OP13_SQL = r"""
+with docs as (
+  select coalesce(source, '') as part, doc_id, coalesce(text, '') as text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+  from documents
+),
+first as (select text, min(doc_id) as first_id from docs group by text),
+fails as (
+  select d.part, l.good, l.toxic,
+    len(words) < 50 as a,
+    100 * len(list_distinct(words)) < 65 * len(words) as b,
+    100 * len(regexp_extract_all(d.text, '[A-Z]')) > 5 * length(d.text) as c,
+    regexp_matches(d.text, '[#$%&*|]') as d,
+    coalesce(d.doc_id > f.first_id, false) as e
+  from docs d join first f on d.text = f.text
+  left join (
+    select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id
+  ) l on l.doc_id = d.doc_id
+),
+sets as (
+  select part, concat(case when a then 'A' else '' end, case when b then 'B' else '' end, case when c then 'C' else '' end,
+    case when d then 'D' else '' end, case when e then 'E' else '' end) as failed,
+    count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+  from fails group by all
+),
+letters(x) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+orders as (
+  select p.x || q.x || r.x || s.x || t.x as filter_order
+  from letters p, letters q, letters r, letters s, letters t
+  where p.x not in (q.x, r.x, s.x, t.x) and q.x not in (r.x, s.x, t.x) and r.x not in (s.x, t.x) and s.x <> t.x
+),
+steps as (
+  select filter_order, cast(step as int) as step, substr(filter_order, step, 1) as letter,
+    '[' || substr(filter_order, 1, step) || ']' as upto,
+    case when step > 1 then '[' || substr(filter_order, 1, step - 1) || ']' else '#' end as earlier
+  from orders, (select unnest(range(1, 6)) as step)
+),
+counted as (
+  select part, filter_order, step, letter,
+    sum(case when not regexp_matches(failed, upto) then n else 0 end) as kept,
+    sum(case when contains(failed, letter) and not regexp_matches(failed, earlier) then n else 0 end) as removed,
+    sum(case when contains(failed, letter) and regexp_matches(failed, earlier) then n else 0 end) as redundant,
+    sum(case when failed = letter then n else 0 end) as unique_fails,
+    sum(case when contains(failed, letter) and not regexp_matches(failed, earlier) then good else 0 end) as good_lost,
+    sum(case when contains(failed, letter) and not regexp_matches(failed, earlier) then toxic else 0 end) as toxic_lost
+  from sets, steps group by all
+)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, letter) as bigint) as shapley
+from counted
+"""
+
+
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 OP9_SQL = f"""
 with rules(verdict, rule_host, rule_path) as (values {_RULE_ROWS}),
@@ -168,8 +230,10 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_url_filter": op9_url_filter,
     "op10_decontamination": op10_decontamination,
+    "op13_filter_audit": op13_filter_audit,
 }
 ORACLES = {
     "op7_warc_fixity": OP7_SQL,
     "op9_url_filter": OP9_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
