@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import decontamination, embedding_dedup, filter_audit, language_id, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, token_counts, url_filter, warc_fixity
+from pageloom.llm import decontamination, embedding_dedup, filter_audit, language_id, periodic_runs, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, token_counts, url_filter, warc_fixity
 from pageloom.llm.tables import table
 from pageloom.session import shared_table
 
@@ -136,6 +138,33 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark", "item_id", "text"))
 
 
+def _periodic(key: int | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten repeats a piece of its own words up to its end."""
+    number = zlib.crc32(str(key).encode()) if key is not None else 1
+    seed, n = number // 10, len(words)
+    if number % 10 or not n:
+        return words
+    at = seed % n
+    period = 1 + (n - at) // (3 + seed % 8)
+    return words[:at] + (words[at : at + period] * -(-(n - at) // period))[: n - at]
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Number, strongest and digest of the runs of every document, some of which are made periodic, and what is left of it."""
+    found = periodic_runs.periodic_runs(table(spark, sf, "documents", "doc_id", "text"), rewrite=_periodic)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     """What five filters remove in each of their 120 orders, by source, and their Shapley values."""
     docs = table(spark, sf, "documents", "doc_id", "text", "source")
@@ -230,6 +259,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_url_filter": op9_url_filter,
     "op10_decontamination": op10_decontamination,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_filter_audit": op13_filter_audit,
 }
 ORACLES = {
