@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.session import shared_table
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 REPEATS = "E"
 
@@ -112,7 +114,8 @@ def failed_sets(
     again = 1 << len(conditions)
     # Copies are counted before anything is shuffled; a key's own rows are few wherever its text is everywhere.
     found = rows.select("part", "key", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), failed.alias("failed"))
-    found = found.groupBy("part", "key", "digest", "failed").agg(F.count("*").alias("n"))
+    # Written, as it is read twice and the texts should not be.
+    found = shared_table(found.groupBy("part", "key", "digest", "failed").agg(F.count("*").alias("n")))
     marks = labels.groupBy(F.col(key).cast("long").alias("marked")).agg(
         F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic")
     )
