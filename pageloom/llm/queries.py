@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import decontamination, embedding_dedup, filter_audit, language_id, periodic_runs, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, token_counts, url_filter, warc_fixity
+from pageloom.llm import decontamination, embedding_dedup, filter_audit, language_id, lm_scoring, periodic_runs, sentencepiece_bpe, simhash, substring_dedup, suffix_array_dedup, token_counts, url_filter, warc_fixity
 from pageloom.llm.tables import table
 from pageloom.session import shared_table
 
@@ -69,8 +69,8 @@ URL_RULES = (
 )
 
 
-def _held_out(key: str = "doc_id"):
-    return F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2
+def _held_out(key: str = "doc_id", of: int = 4):
+    return F.crc32(F.col(key).cast("string").cast("binary")) % of == 2
 
 
 def _archive(pages: DataFrame) -> DataFrame:
@@ -138,6 +138,14 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark", "item_id", "text"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """Log-probabilities of all documents under a model of those that are not held out."""
+    held_out = _held_out(of=7)
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    scored = lm_scoring.score(docs, ~F.coalesce(held_out, F.lit(False)))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def _periodic(key: int | None, words: list[bytes]) -> list[bytes]:
     """One document in ten repeats a piece of its own words up to its end."""
     number = zlib.crc32(str(key).encode()) if key is not None else 1
@@ -259,6 +267,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_url_filter": op9_url_filter,
     "op10_decontamination": op10_decontamination,
+    "op11_lm_scoring": op11_lm_scoring,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_filter_audit": op13_filter_audit,
 }
