@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.repeats import packed, unpacked
-from pageloom.llm.tables import chunks, mixed
+from pageloom.llm.tables import chunks, give_back, mixed
 from pageloom.session import shared_table
 
 ORDER = 3
@@ -65,24 +65,26 @@ class Block:
     def __init__(self, data: bytes, order: int):
         self.keys, self.nulls, self.train, lengths, joined = unpacked(data, ["<i8", bool, bool, "<i8", bytes])
         ends = np.cumsum(lengths)
-        words = [joined[e - n : e].split() for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
         names: dict[bytes, int] = {}
-        ids = np.fromiter((names.setdefault(w, len(names)) for own in words for w in own), np.int64)
+        ids = [
+            np.array([names.setdefault(w, len(names)) for w in joined[e - n : e].split()], np.int32)
+            for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)
+        ]
         known = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names), np.uint64, len(names))
         #: Words of each text and its end.
-        self.sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        self.sizes = np.fromiter(map(len, ids), np.int64, len(ids)) + 1
         last = np.cumsum(self.sizes + 1)
         self.first = last - self.sizes - 1
         n = int(last[-1]) if len(last) else 0
         value = np.empty(n, np.uint64)
         inner = np.ones(n, bool)
         inner[self.first] = inner[last - 1] = False
-        value[inner] = known[ids]
+        value[inner] = known[np.concatenate(ids)] if ids else 0
         value[self.first] = START
         value[last - 1] = END
         value = mixed(value)
-        self.text = np.repeat(np.arange(len(words)), self.sizes + 1)
-        self.place = np.arange(n) - self.first[self.text]
+        self.text = np.repeat(np.arange(len(ids), dtype=np.int32), self.sizes + 1)
+        self.place = (np.arange(n) - self.first[self.text]).astype(np.int32)
         #: Hash of the n-gram that ends at each place, by order; a text of fewer tokens before the place has none.
         self.grams = [value]
         for k in range(2, order + 1):
@@ -92,28 +94,39 @@ class Block:
             gram[1:] += value[1:]
             self.grams.append(mixed(gram))
 
-    def tagged(self):
-        """Hashes of all n-grams with their order in the last bits, order by order, and the place where each ends."""
-        mask = ~np.uint64((1 << TAG) - 1)
-        values, places = [], []
-        for k, gram in enumerate(self.grams, 1):
-            at = np.flatnonzero(self.place >= k - 1)
-            tag = np.where(self.place[at] > 0, k, 0).astype(np.uint64)
-            # 63 bits: asked() needs one.
-            values.append((gram[at] >> np.uint64(1) & mask) | tag)
-            places.append(at)
-        return values, places
+    def places(self, k: int) -> np.ndarray:
+        """Where an n-gram of ``k`` tokens, the start among them, ends."""
+        return np.flatnonzero(self.place >= k - 1)
+
+    def tagged(self) -> np.ndarray:
+        """Hashes of all n-grams, 63 bits with their order in the last ones, order by order and place by place."""
+        at = [self.places(k) for k in range(1, len(self.grams) + 1)]
+        values = np.empty(sum(map(len, at)), np.uint64)
+        end = 0
+        for k, (gram, own) in enumerate(zip(self.grams, at, strict=True), 1):
+            part = values[end : end + len(own)]
+            end += len(own)
+            np.take(gram, own, out=part)
+            part >>= np.uint64(1)
+            part &= ~np.uint64((1 << TAG) - 1)
+            part |= np.where(self.place[own] > 0, k, 0).astype(np.uint8)
+        return values
 
     def asked(self):
         """The different n-grams in order, and how often each stands in the training texts."""
-        values, places = self.tagged()
-        train = self.train[self.text]
+        values = self.tagged()
+        train = self.train[self.text].view(np.uint8)
+        train = np.concatenate([train[self.places(k)] for k in range(1, len(self.grams) + 1)])
+        self.grams.clear()
         # Sorted with a last bit that says whether the place is in a training text.
-        marked = np.sort(np.concatenate([(v << np.uint64(1)) | train[at].astype(np.uint64) for v, at in zip(values, places, strict=True)]))
-        whole = marked >> np.uint64(1)
-        begin = np.flatnonzero(np.append(True, whole[1:] != whole[:-1])) if len(whole) else np.zeros(0, np.int64)
-        counts = np.add.reduceat((marked & np.uint64(1)).astype(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
-        return whole[begin], counts
+        values <<= np.uint64(1)
+        values |= train
+        values.sort()
+        train = (values & np.uint64(1)).astype(np.uint8)
+        values >>= np.uint64(1)
+        begin = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+        counts = np.add.reduceat(train, begin, dtype=np.int64) if len(begin) else np.zeros(0, np.int64)
+        return values[begin], counts.astype("<u4")
 
 
 def buckets_of(values: np.ndarray, buckets: int) -> np.ndarray:
@@ -133,9 +146,9 @@ class Model:
 class Automaton:
     """The states and arcs that the texts of a block reach, by the place where the text reaches them."""
 
-    def __init__(self, block: Block, counts: list[np.ndarray], model: Model):
+    def __init__(self, block: Block, counts: np.ndarray, model: Model):
         """``counts``: training counts of the n-grams that end at each place, by order; 0 where there is none."""
-        self.block, self.counts = block, np.array(counts)
+        self.block, self.counts = block, counts
         order, n = self.counts.shape
         p = (self.counts[0] + 1) / (model.tokens + model.types + 1)
         self.base = np.log10(p)
@@ -209,6 +222,7 @@ def _groups(rows, by: int):
         held.append(row)
     if held:
         yield held
+    give_back()
 
 
 def _batch(rows) -> pa.RecordBatch:
@@ -234,10 +248,10 @@ def _blocks(docs: DataFrame, train: Column, key: str, text: str, size: int) -> D
 
 def _ask(blocks: DataFrame, buckets: int, order: int) -> DataFrame:
     def asked(batches):
-        for number, _, _, data in _rows(batches):
+        for ((number, _, _, data),) in _groups(_rows(batches), 0):
             values, counts = Block(data, order).asked()
             cut = np.searchsorted(buckets_of(values, buckets), np.arange(buckets + 1)).tolist()
-            steps, counts = np.diff(values, prepend=np.uint64(0)), counts.astype("<u4")
+            steps = np.diff(values, prepend=np.uint64(0))
             first = [a for a in cut[:-1] if a < len(values)]
             steps[first] = values[first]
             yield _batch([
@@ -287,22 +301,23 @@ def _model(answers: DataFrame, order: int) -> Model:
 
 
 def _scored(block: Block, rows, model: Model, order: int, lane: int) -> pa.RecordBatch:
-    values, places = block.tagged()
-    joined = np.concatenate(values)
-    by = np.argsort(joined)
-    ordered = joined[by]
-    nth = np.cumsum(np.append(0, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
     sums = np.concatenate([unplanes(unpacked(data, [bytes])[0], "<u8") for _, _, _, data in rows] or [np.zeros(0, "<u8")])
+    values = block.tagged()
+    block.grams.clear()
+    by = np.argsort(values)
+    values = values[by]
+    nth = np.cumsum(np.append(False, values[1:] != values[:-1]) if len(values) else [], dtype=np.int32)
     if len(sums) != (int(nth[-1]) + 1 if len(nth) else 0):
         raise RuntimeError("the answers do not fit the block that asked")
-    found = np.empty(len(joined), np.int64)
-    found[by] = sums[nth].astype(np.int64)
-    counts, end = [], 0
-    for at in places:
-        own = np.zeros(len(block.place), np.int64)
-        own[at] = found[end : end + len(at)]
-        counts.append(own)
+    found = np.empty(len(values), np.int64)
+    found[by] = sums[nth]
+    del values, by, nth, sums
+    counts, end = np.zeros((order, len(block.place)), np.int64), 0
+    for k in range(order):
+        at = block.places(k + 1)
+        counts[k, at] = found[end : end + len(at)]
         end += len(at)
+    del found
     automaton = Automaton(block, counts, model)
     token = block.place > 0
     base = np.bincount(block.text[token], automaton.base[token], len(block.sizes))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,14 @@ def chunks(batches: Iterator[pa.RecordBatch], key: str, text: str, limit: int =
         yield held[0], texts, *held[1:]
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system, as a Python worker lives on for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15
