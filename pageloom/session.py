@@ -66,6 +66,27 @@ def shared_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables between the steps of a job, which go once what was made of them is written."""
+
+    def __init__(self):
+        self._paths: list[tuple[SparkSession, str]] = []
+
+    def table(self, df: DataFrame) -> DataFrame:
+        """As ``shared_table``; nothing may read it after ``drop``."""
+        path = shared_folder(df.sparkSession)
+        self._paths.append((df.sparkSession, path))
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        for spark, path in self._paths:
+            context = spark.sparkContext
+            found = context._jvm.org.apache.hadoop.fs.Path(path)
+            found.getFileSystem(context._jsc.hadoopConfiguration()).delete(found, True)
+        self._paths.clear()
+
+
 def spread(table: DataFrame) -> DataFrame:
     """A table scan with at least as many partitions as there are cores.
 
