@@ -16,6 +16,13 @@ COLUMNS = {
     "op6_sentencepiece": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op8_language_id": ["doc_id", "held_out", "lang_pred", "score"],
     "op9_url_filter": ["page_id", "host", "path", "rule", "verdict"],
+    "op11_lm_scoring": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    "op12_periodic_runs": [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
+    ],
+    "op13_filter_audit": [
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley",
+    ],
 }
 
 
@@ -51,8 +58,9 @@ def test_pipeline(spark):
     assert not {900_001, 900_002, None} & set(ids[1])
     readable = [r.doc_id for r in docs.collect() if r.doc_id is not None and any(c.isalpha() for c in r.text or "")]
     assert sorted(ids[1]) == sorted(readable)
-    groups = queries.simhash.near_duplicates(seen[1].select("doc_id", "text")).collect()
-    assert sorted(ids[2]) == sorted({r.component_id for r in groups})
+    from tests.llm.test_shingle_dedup import brute as near
+
+    assert sorted(ids[2]) == sorted({c for _, c in near([(r.doc_id, r.text) for r in seen[1].collect()])})
     from tests.llm.test_repeats import brute_bytes
 
     rows = [(r.doc_id, r.text) for r in seen[2].collect()]
@@ -65,3 +73,20 @@ def test_pipeline(spark):
     leaked = {k for k, _ in brute([(r.doc_id, r.text) for r in seen[3].collect()], items)}
     assert sorted(ids[4]) == sorted(set(ids[3]) - leaked)
     assert sorted(ids[5]) == sorted(ids[4])
+
+
+def test_pipeline_repeated_ids(spark):
+    """Rows of one id but different texts are judged each; rows that repeat count once."""
+    x, y = " ".join(f"x{i}" for i in range(40)), " ".join(f"y{i}" for i in range(40))
+    u, v = " ".join(f"u{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(3, x), (5, x), (5, y), (7, u), (7, v), (7, v), (8, v + " more"), (9, "12"), (9, "nine"), (5, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or ""), 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row int")
+    first = corpus_pipeline.readable(spark, docs, SF)
+    assert sorted((r.doc_id, r.text) for r in first.collect()) == sorted(r for r in rows if r[1] not in (None, "12"))
+    second = corpus_pipeline.without_near_duplicates(spark, first, SF)
+    assert second.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in second.collect()) == sorted([(3, x), (5, y), (7, u), (7, v), (9, "nine")])
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    leaky = second.unionByName(spark.createDataFrame([(7, item, "en", "s", 1, 1)], docs.schema))
+    kept = corpus_pipeline.without_benchmark(spark, leaky, SF)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted((r.doc_id, r.text) for r in second.collect())
