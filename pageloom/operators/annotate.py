@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.functions.text import annotation_id
+from pageloom.functions.words import Matcher, WordAutomaton
 from pageloom.session import shared_table
 
 ANNOTATION_CONTEXT = "http://www.w3.org/ns/anno.jsonld"
@@ -181,17 +182,21 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+# Words of all names together that tasks are sent as one automaton: some 30 MB of arrays and tables.
+SHARED_WORDS = 200_000
+
+
 def dictionary_entities(
-    df: DataFrame, dictionary: DataFrame, text: str = "text", max_words: int | None = None
+    df: DataFrame, dictionary: DataFrame, text: str = "text", max_words: int | None = None, shared_words: int = SHARED_WORDS
 ) -> DataFrame:
     """Entities of ``dictionary(name, type)`` that occur in ``text``, once per row of ``df``.
 
     Names match as runs of whole words, whatever the case; names of the same words and type are
-    one, under the smallest spelling. The numbers of words that names have decide which runs are
-    taken, and only from words that begin a name; ``max_words`` may leave longer names out. Each
-    row lists its distinct runs, which meet the names in an equi-join. The planner broadcasts the
-    names when their size allows; otherwise a frequent run is split by the skew-join rule.
-    ``text`` is not carried along.
+    one, under the smallest spelling. ``max_words`` may leave longer names out. ``text`` is not carried along.
+
+    The names' words are counted first. Up to ``shared_words`` of them, an automaton over whole words is sent to
+    the tasks, and one pass over each text finds all names in it, without a shuffle. More
+    names than that are a table that the texts' runs of words meet in joins. Both give the same rows.
     """
     split = dictionary.select(words(F.col("name")).alias("_words"), "name", "type").where(F.size("_words") > 0)
     if max_words is not None:
@@ -199,6 +204,48 @@ def dictionary_entities(
     names = split.groupBy(F.array_join("_words", " ").alias("_run"), "type").agg(
         F.min("name").alias("name"), F.first(F.col("_words")[0]).alias("_first"), F.first(F.size("_words")).alias("_n")
     )
+    names = shared_table(names)
+    if (names.agg(F.sum("_n")).first()[0] or 0) > shared_words:
+        return _joined_entities(df, names, text)
+    return _matched_entities(df, names, text)
+
+
+def _matched_entities(df: DataFrame, names: DataFrame, text: str) -> DataFrame:
+    """``names`` small enough for one automaton."""
+    held: dict[str, list[tuple[str, str]]] = {}
+    for row in names.select("_run", "name", "type").collect():
+        held.setdefault(row["_run"], []).append((row["name"], row["type"]))
+    runs = sorted(held)
+    sent = df.sparkSession.sparkContext.broadcast((WordAutomaton([r.split(" ") for r in runs]), [sorted(held[r], key=str) for r in runs]))
+    others = [c for c in df.columns if c != text]
+    fields = [df.schema[c] for c in others]
+    schema = T.StructType([*fields, T.StructField("name", T.StringType()), T.StructField("type", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, entities = sent.value
+        matcher = Matcher(automaton)
+        for batch in batches:
+            at, found = [], []
+            for i, line in enumerate(batch.column(len(others)).to_pylist()):
+                for n in matcher.found(line.split(" ")) if line else ():
+                    for entity in entities[n]:
+                        at.append(i)
+                        found.append(entity)
+            kept = batch.select(list(range(len(others)))).take(pa.array(at, pa.int64()))
+            columns = [pa.array([e[k] for e in found], pa.string()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *columns], schema.names)
+
+    lines = df.select(*(F.col(f"`{c}`") for c in others), F.array_join(words(F.col(text)), " ").alias("_line"))
+    return lines.mapInArrow(run, schema)
+
+
+def _joined_entities(df: DataFrame, names: DataFrame, text: str) -> DataFrame:
+    """``names`` of any number.
+
+    The numbers of words that names have decide which runs are taken, and only from words that begin a name. Each
+    row lists its distinct runs, which meet the names in an equi-join. The planner broadcasts the
+    names when their size allows; otherwise a frequent run is split by the skew-join rule.
+    """
     # How long the names are that a word begins: one short row per first word.
     begins = names.groupBy("_first").agg(F.sort_array(F.collect_set("_n")).alias("_lengths"))
     others = [c for c in df.columns if c != text]

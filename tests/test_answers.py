@@ -1,10 +1,13 @@
 import hashlib
 import json
 
+import hypothesis
+import hypothesis.strategies as st
 import pytest
 from pyspark.sql import functions as F
 
 from pageloom.functions import names as N
+from pageloom.functions.words import Matcher, WordAutomaton
 from pageloom.operators import annotate as A
 from pageloom.operators import entities as E
 from pageloom.operators import responses as R
@@ -137,7 +140,6 @@ def test_dictionary_against_brute_force(spark):
     names = [("Ann", "person"), ("Bob Ray", "artist"), ("ray bob RAY", "work"), ("x x x", "other")]
     names += [("x x x x x bob ray", "work"), ("met Bob Ray ann again", "other"), ("!?", "other"), ("Ann", "artist")]
     df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
-    got = A.dictionary_entities(df, spark.createDataFrame(names, "name string, type string"))
     expected = set()
     for k, text in enumerate(texts):
         tokens = (text or "").lower().replace(".", "").split()
@@ -145,4 +147,17 @@ def test_dictionary_against_brute_force(spark):
             n = name.lower().split()
             if any(tokens[i : i + len(n)] == n for i in range(len(tokens))):
                 expected.add((k, name, kind))
-    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+    # By the automaton and by joins.
+    for shared in (A.SHARED_WORDS, 0):
+        got = A.dictionary_entities(df, spark.createDataFrame(names, "name string, type string"), shared_words=shared)
+        assert got.columns == ["k", "name", "type"]
+        assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+    nothing = spark.createDataFrame([], "name string, type string")
+    assert A.dictionary_entities(df, nothing).collect() == []
+
+
+@hypothesis.given(st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=4).map(tuple), unique=True, max_size=9), st.text("abcd", max_size=30))
+def test_word_automaton(runs, text):
+    """Overlapping runs, runs inside runs and words that no run has."""
+    found = Matcher(WordAutomaton(runs)).found(text)
+    assert found == [i for i, run in enumerate(runs) if "".join(run) in text]
