@@ -7,17 +7,21 @@ smaller ones, so a batch that is run again after a failure gives the same files.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.types import StructType
 
 from pageloom.functions.names import worker_name
 from pageloom.operators.store import KEYS, upsert_annotations
 from pageloom.operators.tokens import token_batches, token_state
-from pageloom.operators.urls import first_seen, screen_urls
+from pageloom.operators.urls import screen_urls
 
 
 def first_seen_stream(
@@ -25,7 +29,7 @@ def first_seen_stream(
 ) -> DataFrame:
     """Accepted rows, one per canonical URL, by the state store.
 
-    Which of several copies in a micro-batch stays is open; ``first_seen_job`` keeps the
+    Which of several copies in a micro-batch stays is open; ``first_seen_ordered`` keeps the
     first. The state grows with the distinct URLs unless ``event_time`` bounds it, where a
     copy later than ``delay`` counts as new.
     """
@@ -54,22 +58,74 @@ def _job(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint:
     return stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
 
 
-def first_seen_job(
-    stream: DataFrame, output: str, history: str, checkpoint: str, url: str = "url", seq: str = "seq"
-) -> DataStreamWriter:
-    """The first row by batch and ``seq`` of every canonical URL, all columns kept.
+def first_seen_ordered(stream: DataFrame, url: str = "url", seq: str = "seq") -> DataFrame:
+    """Accepted rows: the first by batch and ``seq`` of every canonical URL, all columns kept.
 
-    ``history`` keeps the canonical URLs alone, so no batch reads wide rows again.
+    State keyed by canonical URL says which ones earlier batches had, so a batch costs its own rows. Each
+    task first reduces its rows to one per URL, so a URL with a large share of them is a few rows in the keyed step.
+    The other columns travel as JSON, which keeps them as they are through Python. A null ``seq`` comes last. The state
+    grows with the different URLs: keep it in RocksDB, see ``STATE_SETTINGS``.
     """
-
-    def work(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = _earlier(spark, history, batch_id, "canonical_url string")
-        _write_batch(first_seen(batch, url, seq, history=seen), output, batch_id)
-        kept = spark.read.parquet(f"{output}/batch_id={batch_id}")
-        _write_batch(kept.select("canonical_url"), history, batch_id)
-
-    return _job(stream, work, checkpoint)
+    passed = screen_urls(stream, url).where("reject_reason is null").drop("reject_reason")
+    others = [f for f in passed.schema if f.name != "canonical_url"]
+    rows = passed.select(
+        "canonical_url",
+        F.coalesce(F.col(seq).cast("bigint"), F.lit((1 << 63) - 1)).alias("at"),
+        F.to_json(F.struct(*(F.col(f"`{f.name}`") for f in others)), EXACT).alias("row"),
+    )
+    schema = "canonical_url string, at bigint, row string"
+    firsts = (
+        rows.mapInArrow(_least_rows, schema)
+        .groupBy("canonical_url")
+        .applyInPandasWithState(_first_of_key, schema, "seen boolean", "append", "NoTimeout")
+    )
+    back = firsts.select("canonical_url", F.from_json("row", StructType(others), EXACT).alias("row"))
+    return back.select(*("canonical_url" if c == "canonical_url" else F.col(f"row.`{c}`") for c in passed.columns))
+
+
+# For sessions that keep much state: it stays on disk, and a batch writes what it changed.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+# Times keep their microseconds, nulls their keys.
+EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
+# Different URLs that a task holds before it sends them on.
+HELD_URLS = 10_000
+
+
+def _least_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per canonical URL out of many, the least by ``at``."""
+    held: dict[str, tuple[int, str]] = {}
+
+    def out():
+        urls = list(held)
+        columns = [urls, [held[u][0] for u in urls], [held[u][1] for u in urls]]
+        kinds = (pa.string(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["canonical_url", "at", "row"])
+
+    for batch in batches:
+        for one, at, row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if one not in held or at < held[one][0]:
+                held[one] = at, row
+        if len(held) >= HELD_URLS:
+            yield out()
+            held.clear()
+    yield out()
+
+
+def _first_of_key(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    rows = [f.loc[[f["at"].idxmin()]] for f in frames if len(f)]
+    if not state.exists and rows:
+        state.update((True,))
+        every = pd.concat(rows, ignore_index=True)
+        yield every.loc[[every["at"].idxmin()]]
+
+
+def first_seen_job(stream: DataFrame, output: str, checkpoint: str, url: str = "url", seq: str = "seq") -> DataStreamWriter:
+    """``first_seen_ordered`` appended to Parquet files."""
+    kept = first_seen_ordered(stream, url, seq)
+    return kept.writeStream.format("parquet").option("path", output).option("checkpointLocation", checkpoint)
 
 
 def upsert_job(

@@ -40,13 +40,61 @@ def test_bounded_state_needs_an_event_time(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
 
 
+def state_rows(writer):
+    """Runs the stream to its end; rows of its keyed state after each batch."""
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return [p["stateOperators"][0]["numRowsTotal"] for p in (json.loads(p.json) for p in query.recentProgress)]
+
+
 def test_first_by_batch_and_seq_and_restart(spark, tmp_path):
-    paths = [str(tmp_path / n) for n in ("out", "seen", "ck")]
-    finish(jobs.first_seen_job(feed(spark, urls(spark, FIRST), tmp_path / "in"), *paths))
-    finish(jobs.first_seen_job(feed(spark, urls(spark, SECOND), tmp_path / "in"), *paths))
+    paths = [str(tmp_path / n) for n in ("out", "ck")]
+    for key, value in jobs.STATE_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        assert state_rows(jobs.first_seen_job(feed(spark, urls(spark, FIRST), tmp_path / "in"), *paths))[-1] == 2
+        # Later copies, one of them of a smaller seq, and a restart.
+        late = [*SECOND, (0, "http://a.com/y/?utm_source=z", "late")]
+        assert state_rows(jobs.first_seen_job(feed(spark, urls(spark, late), tmp_path / "in"), *paths))[-1] == 3
+    finally:
+        for key in jobs.STATE_SETTINGS:
+            spark.conf.unset(key)
     assert sorted(r.seq for r in spark.read.parquet(paths[0]).collect()) == [1, 2, 5]
 
 
+def test_first_seen_keeps_columns_as_they_are(spark, tmp_path):
+    """Nested, odd and null values, a clashing name, a null seq, and a URL with nearly all rows."""
+    schema = "seq long, url string, at timestamp, warc struct<n:string,k:array<long>>, raw binary, big decimal(30,4), x double, row string"
+    rows = spark.range(30_000).selectExpr(
+        "id + 5 as seq", "'http://a.com/x' as url", "timestamp_micros(id) as at", "named_struct('n', 'v', 'k', array(id, null)) as warc",
+        "cast('b' as binary) as raw", "cast(id as decimal(30,4)) as big", "double('NaN') as x", "'own' as row",
+    )
+    odd = spark.createDataFrame([(None, "http://a.com/y", None, None, None, None, None, None), ((1 << 60) + 1, "http://a.com/z", None, (None, [1 << 60]), b"\x00\xff", None, None, "")], schema)
+    every = rows.unionByName(odd).repartition(4)
+    every.write.parquet(str(tmp_path / "in"))
+    kept = jobs.first_seen_ordered(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+    assert [c for c in kept.columns if c != "canonical_url"] == every.columns
+    out = str(tmp_path / "out")
+    finish(kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck")))
+    got = spark.read.parquet(out).drop("canonical_url")
+    expected = every.where("seq = 5 or seq is null or seq > 100000")
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_cost_of_a_batch_stays(spark, tmp_path):
+    """Twenty batches of new and old URLs: state grows with the URLs, and no batch reads what earlier ones wrote."""
+    for i in range(20):
+        urls(spark, [(i * 10 + k, f"http://a.com/{i // 2}/{k}", "h") for k in range(10)]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("seq long, url string, html string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = jobs.first_seen_job(stream, str(tmp_path / "out"), str(tmp_path / "ck")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    progress = [json.loads(p.json) for p in query.recentProgress if p.numInputRows]
+    assert len(progress) == 20 and {p["numInputRows"] for p in progress} == {10}
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in progress) == 100
+    assert {p["stateOperators"][0]["numRowsUpdated"] for p in progress} <= {0, 10}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 100
+
+
 def test_upsert_job_skips_what_is_stored(spark, tmp_path):
     schema = "seq long, pos int, container_slug string, annotation_slug string, payload string"
     rows = [(1, 0, "c", "a", "1"), (2, 0, "c", "a", "2"), (3, 0, "c", "b", "3")]

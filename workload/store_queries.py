@@ -357,8 +357,8 @@ def stream_first_seen(spark, sf):
 
 
 def stream_first_seen_ordered(spark, sf):
-    source, output, history, checkpoint = (shared_folder(spark) for _ in range(4))
-    _in_parts(_page_urls(spark, sf), source, lambda stream: jobs.first_seen_job(stream, output, history, checkpoint))
+    source, output, checkpoint = (shared_folder(spark) for _ in range(3))
+    _in_parts(_page_urls(spark, sf), source, lambda stream: jobs.first_seen_job(stream, output, checkpoint))
     return spark.read.parquet(output).select("seq", "url", "canonical_url")
 
 
