@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
@@ -28,8 +27,10 @@ from pageloom.operators.store import (
 from pageloom.operators.summary import run_summary
 from pageloom.operators.tokens import token_batches, token_count, token_state
 from pageloom.operators.urls import first_seen
+from pageloom.schemas import PROVENANCE
 from pageloom.session import shared_table
 from pageloom.sources.tables import (
+    RunLog,
     append_annotations,
     append_checkpoint,
     load_state,
@@ -150,10 +151,15 @@ def resume_crawl(
     ``failures`` and is tried again by the next run. The entities of the answers are appended as lines,
     and the token counter goes on from run to run: ``batches`` has the batch under ``budget`` of
     every page with an answer. Pages ``(seq, url, html, warc)`` are read, moved and written once.
-    Records, entities and the counter lie in folders below ``checkpoint``.
+    Records, entities and the counter lie in folders below ``checkpoint``, each run's apart, and count once the
+    run's last row is in the log there (``RunLog``). A run that was stopped with its records whole is finished first, without
+    asking the model again; one that was stopped earlier counts as if it had not been.
     """
-    run, folder = uuid.uuid4().hex, checkpoint.rstrip("/")
-    records, state = f"{folder}/records", f"{folder}/state"
+    folder = checkpoint.rstrip("/")
+    records, log = f"{folder}/records", RunLog(spark, folder)
+    for stopped in log.unfinished():
+        _finish(spark, folder, stopped, log, budget)
+    run = log.begin()
     if _exists(spark, records):
         done = shared_table(processed_urls(read_checkpoint(spark, records)))
     else:
@@ -179,9 +185,21 @@ def resume_crawl(
     error = F.coalesce("llm_decision_error", "generated_annotation_error").alias("error")
     kept = checkpoint_records(answered, "seq", "warc", error)
     append_checkpoint(kept, records, run)
-    columns = ["seq", "url", "warc", "processed_html", "generated_annotation"]
-    kinds = T.StructType([*(kept.schema[c] for c in columns), T.StructField("run", T.StringType())])
-    mine = spark.read.schema(kinds).parquet(records).where(F.col("run") == run)
+    log.mark(run, log.RECORDS)
+    found, batches = _finish(spark, folder, run, log, budget)
+    return Resumed(read_checkpoint(spark, records, run), read_failures(spark, records, run), found, batches)
+
+
+def _finish(spark: SparkSession, folder: str, run: str, log: RunLog, budget: int) -> tuple[DataFrame, DataFrame]:
+    """Entities and token batches of a run whose records are whole; what a stop left of them is replaced."""
+    kinds = T.StructType(
+        [
+            T.StructField("seq", T.LongType()),
+            *(T.StructField(n, T.StringType()) for n in ("url", "processed_html", "generated_annotation", "run")),
+            T.StructField("warc", PROVENANCE),
+        ]
+    )
+    mine = spark.read.schema(kinds).parquet(f"{folder}/records").where(F.col("run") == run)
     asked = shared_table(
         mine.where("generated_annotation is not null").select(
             "seq",
@@ -189,14 +207,16 @@ def resume_crawl(
             token_count(F.col("generated_annotation")).alias("completion_tokens"),
         )
     )
-    before = shared_table(load_state(spark, state))
+    earlier = log.done()
+    before = shared_table(load_state(spark, f"{folder}/state/run={earlier[-1] if earlier else ''}"))
     batches = shared_table(token_batches(asked, budget, state=before))
     now = token_state(asked, budget, state=before).select(F.lit("").alias("shard"), "token_count", "batch")
-    save_state(shared_table(now if not asked.isEmpty() else before), state)
+    save_state(shared_table(now if not asked.isEmpty() else before), f"{folder}/state/run={run}")
     parsed = parse_response(mine.select("seq", "url", "warc", F.col("generated_annotation").alias("response")).where("response is not null"))
     found = shared_table(entities(parsed))
-    write_entities(found, f"{folder}/entities")
-    return Resumed(read_checkpoint(spark, records, run), read_failures(spark, records, run), found, batches)
+    write_entities(found, f"{folder}/entities/run={run}", mode="overwrite")
+    log.mark(run, log.DONE)
+    return found, batches
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,18 +26,72 @@ def read_entities(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.schema(ENTITY_LINE).option("mode", "FAILFAST").json(paths)
 
 
-def write_entities(entities: DataFrame, path: str) -> None:
+def write_entities(entities: DataFrame, path: str, mode: str = "append") -> None:
     """Append entity lines, a folder per crawl worker."""
     (
         entities.select("entity", "source")
         .withColumn("worker", worker_name(F.col("source.warc_filename")))
         .write.partitionBy("worker")
-        .mode("append")
+        .mode(mode)
         .options(**JSON_OPTIONS)
         .json(path)
     )
 
 
+class RunLog:
+    """The manifest of the runs below a folder: a row for every step that a run has behind it.
+
+    A run is ``begun``, then its ``records`` are whole, then it is ``done``. Each row is a file of its own, written when all
+    of the step's files stand. Records, entities and token counters are in places of their own for every run and
+    count only once the run is done, so what a stopped run left behind is never read. Runs follow one another.
+    """
+
+    BEGUN, RECORDS, DONE = "begun", "records", "done"
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.path = spark, f"{folder.rstrip('/')}/runs"
+        try:
+            rows = spark.read.schema("run string, number int, step string").json(self.path).collect()
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = []
+        self.known = bool(rows)
+        self.numbers = {r.run: r.number for r in rows}
+        self._steps: dict[str, set[str]] = {}
+        for r in rows:
+            self._steps.setdefault(r.run, set()).add(r.step)
+
+    def begin(self) -> str:
+        """A new run."""
+        run = uuid.uuid4().hex
+        self.numbers[run] = max(self.numbers.values(), default=0) + 1
+        self.mark(run, self.BEGUN)
+        return run
+
+    def mark(self, run: str, step: str) -> None:
+        row = self.spark.createDataFrame([(run, self.numbers[run], step)], "run string, number int, step string")
+        row.coalesce(1).write.mode("append").json(self.path)
+        self._steps.setdefault(run, set()).add(step)
+
+    def done(self) -> list[str]:
+        """Runs that count, in their order."""
+        return sorted((r for r, steps in self._steps.items() if self.DONE in steps), key=self.numbers.__getitem__)
+
+    def unfinished(self) -> list[str]:
+        """Runs whose records are whole, but not what is made of them."""
+        return sorted((r for r, steps in self._steps.items() if self.RECORDS in steps and self.DONE not in steps), key=self.numbers.__getitem__)
+
+
+def read_run_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Entity lines of the runs below ``folder`` that are done."""
+    base = f"{folder.rstrip('/')}/entities"
+    paths = [f"{base}/run={r}" for r in RunLog(spark, folder).done()]
+    if not paths:
+        return spark.createDataFrame([], ENTITY_LINE)
+    return spark.read.schema(ENTITY_LINE).option("mode", "FAILFAST").option("basePath", base).json(paths).select(*ENTITY_LINE.fieldNames())
+
+
 def append_checkpoint(records: DataFrame, path: str, run: str) -> None:
     """Append what a run did: the records by ``status``, ``done`` or ``failed``, and what failed in ``error``.
 
@@ -60,7 +116,11 @@ def read_failures(spark: SparkSession, path: str, run: str | None = None) -> Dat
 def _checkpoint(spark: SparkSession, path: str, run: str | None) -> DataFrame:
     kinds = T.StructType([*CHECKPOINT.fields, *(T.StructField(n, T.StringType()) for n in ("error", "status", "run"))])
     rows = spark.read.schema(kinds).parquet(path)
-    return rows if run is None else rows.where(F.col("run") == run)
+    if run is not None:
+        return rows.where(F.col("run") == run)
+    # Only runs that are done count; ``run`` is a folder, so the others are not opened.
+    log = RunLog(spark, path.rstrip("/").rpartition("/")[0])
+    return rows.where(F.col("run").isin(log.done())) if log.known else rows
 
 
 def write_checkpoint_lines(records: DataFrame, path: str) -> None:

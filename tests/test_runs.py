@@ -7,7 +7,7 @@ from pageloom.operators import store as S
 from pageloom.operators.summary import observed
 from pageloom.plans import runs
 from pageloom.schemas import PROVENANCE
-from pageloom.sources.tables import read_checkpoint, read_entities
+from pageloom.sources.tables import RunLog, load_state, read_checkpoint, read_entities, read_run_entities
 
 TEXT = "A bridge joins two banks of a river. It carries a road or a path over it."
 URLS = ["http://a.com/x", "http://www.a.com/x/", "http://a.com/y", "http://a.com/login", "http://a.com/z"]
@@ -97,7 +97,7 @@ def test_failed_pages_are_tried_again(spark, pages, tmp_path, url_model):
     second = runs.resume_crawl(spark, pages, folder, choose, model)
     assert {r.url for r in second.records.collect()} == accepted
     assert {r.source.url for r in second.entities.collect()} == {URLS[0], URLS[4]}
-    lines = read_entities(spark, f"{folder}/entities/worker=*")
+    lines = read_run_entities(spark, folder)
     assert {r.source.url for r in lines.collect()} == {URLS[0], URLS[4]}
     assert runs.resume_crawl(spark, pages, folder, choose, model).records.count() == 0
 
@@ -112,6 +112,69 @@ def test_token_counter_goes_on(spark, pages, tmp_path):
     assert max(r.batch for r in parts) > 0
 
 
+class Stop(Exception):
+    pass
+
+
+def outcome(spark, folder):
+    """Entity lines, URLs with a record and the counter of all runs that are done."""
+    lines = [(r.entity.name, r.source.url) for r in read_run_entities(spark, folder).collect()]
+    records = [r.url for r in read_checkpoint(spark, f"{folder}/records").collect()]
+    last = load_state(spark, f"{folder}/state/run={RunLog(spark, folder).done()[-1]}")
+    return sorted(lines), sorted(records), [tuple(r) for r in last.collect()]
+
+
+@pytest.fixture(scope="module")
+def unstopped():
+    return {}
+
+
+@pytest.mark.parametrize("point", ["after append_checkpoint", "after mark records", "before save_state", "after write_entities", "after mark done"])
+def test_stop_between_writes(spark, pages, tmp_path, monkeypatch, unstopped, point):
+    """A run stopped between any two of its writes: the next one ends where runs without a stop do."""
+    when, name = point.split(" ", 1)
+    folder, asked = str(tmp_path / "ck"), tmp_path / "asked"
+
+    def counted():
+        def call(prompts):
+            with asked.open("a") as out:
+                out.writelines(p.split("\n")[0] + "\n" for p in prompts)
+            return model()(prompts)
+
+        return call
+
+    def stopping(real, mine=lambda *args: True):
+        def write(*args, **kwargs):
+            if not mine(*args):
+                return real(*args, **kwargs)
+            if when == "after":
+                real(*args, **kwargs)
+            raise Stop
+
+        return write
+
+    first, choose = pages.where("seq <= 2"), F.lit(True)
+    with monkeypatch.context() as patch:
+        if name.startswith("mark"):
+            patch.setattr(runs.RunLog, "mark", stopping(runs.RunLog.mark, lambda log, run, step: step == name.split()[1]))
+        else:
+            patch.setattr(runs, name, stopping(getattr(runs, name)))
+        with pytest.raises(Stop):
+            runs.resume_crawl(spark, first, folder, choose, counted, budget=60)
+    # Nothing of the stopped run counts, unless only its return was lost.
+    assert read_checkpoint(spark, f"{folder}/records").count() == (3 if point == "after mark done" else 0)
+    runs.resume_crawl(spark, pages, folder, choose, counted, budget=60)
+    if not unstopped:
+        whole = str(tmp_path / "whole")
+        runs.resume_crawl(spark, first, whole, choose, model, budget=60)
+        runs.resume_crawl(spark, pages, whole, choose, model, budget=60)
+        unstopped["outcome"] = outcome(spark, whole)
+    assert outcome(spark, folder) == unstopped["outcome"]
+    # Records that are whole are not asked for again.
+    prompts = asked.read_text().split()
+    assert (len(prompts) > len(set(prompts))) == (point == "after append_checkpoint")
+
+
 def test_pages_are_scanned_once(spark, pages, tmp_path):
     pages.write.parquet(str(tmp_path / "pages"))
     table = spark.read.parquet(str(tmp_path / "pages"))

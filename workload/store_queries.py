@@ -291,7 +291,7 @@ def resume_after_failure(spark, sf):
 
 def resume_entities(spark, sf):
     folder, _, _ = _failed_and_resumed(spark, sf)
-    lines = tables.read_entities(spark, f"{folder}/entities/worker=*")
+    lines = tables.read_run_entities(spark, folder)
     return lines.select("entity.name", "entity.type", "source.url", "source.warc_record_id")
 
 
