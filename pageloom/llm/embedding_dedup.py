@@ -24,8 +24,8 @@ DIRECTIONS = 4
 SAMPLE = 4_000
 BLOCK = 2_048
 LEAF = 256
-# Bits of a block's number within its partition, and bits that a step of the recursion takes.
-WITHIN = 18
+# Bits of a block's number within its partition, which has fewer rows than that, and bits that a step of the recursion takes.
+WITHIN = 33
 STEP = 6
 
 
@@ -119,6 +119,8 @@ def _blocks(rows: DataFrame, directions: dict[int, np.ndarray], reach: float, bl
                 if held and (held[0][:2] != row[:2] or len(held) == block):
                     yield _block(number, held)
                     number += 1
+                    if not number % (1 << WITHIN):
+                        raise OverflowError("a partition has too many blocks")
                     held = []
                 held.append(row)
         if held:

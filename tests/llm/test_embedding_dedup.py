@@ -52,3 +52,15 @@ def test_empty_and_repeated(spark):
     rows = [(1, [1.0, 2.0], 0), (1, [1.0, 2.0], 0), (2, [1.0, 2.0], 0), (None, [1.0, 2.0], 0)]
     got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == [(0, 0, 0, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
+
+
+def test_many_labels(spark):
+    """Every label begins a block: their numbers must not run into the next partition's."""
+    rnd = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rnd.normal(size=2)], i // 3) for i in range(3_000)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(frame).collect()}
+    expected = {}
+    for a in range(0, len(rows), 3):
+        expected |= brute(rows[a : a + 3])
+    assert got == expected
