@@ -248,7 +248,7 @@ parts as (
 ),
 fits as (
   select page_id, rule_host || rule_path as rule, verdict,
-    row_number() over (partition by page_id order by length(rule_host || rule_path) desc) as nr
+    row_number() over (partition by page_id order by length(rule_host || rule_path) desc, length(rule_host) desc) as nr
   from parts join rules
     on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
 )

@@ -80,12 +80,14 @@ def filter_urls(
     """``key``, ``host``, ``path``, ``rule`` and ``verdict`` of every row of ``pages``.
 
     ``rules`` holds (verdict, host, path). A rule fits its host and all subdomains if the path
-    starts with the rule's; the longest rule wins. Without a rule ``rule`` is null and the verdict
+    starts with the rule's; the longest rule wins, of equally long ones that of the longest host. Without a rule ``rule`` is null and the verdict
     is ``default``. A null or malformed URL has an empty host and path and no rule. Repeated
     rows are judged each; the last of several verdicts for the same rule counts.
     """
     verdicts = {f"{h}{p}".encode(): v for v, h, p in rules}
     depths = sorted({len(p) for _, _, p in rules})
+    # No rule has a host of more labels or characters, so longer suffixes of a host need no probe.
+    labels, characters = (max((f(h) for _, h, _ in rules), default=0) for f in (lambda h: h.count(".") + 1, len))
     file = DigestArray.built(list(verdicts))
     if len(file) > MAX_FILE_BYTES:
         raise ValueError("the rule file passes MAX_FILE_BYTES")
@@ -102,9 +104,13 @@ def filter_urls(
             probes, row = [], []
             for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
                 heads = [path[:d] for d in depths if d <= len(path)]
+                pieces = host.rsplit(".", labels)
+                if len(pieces) > labels:
+                    host = ".".join(pieces[1:])
                 while host:
-                    probes += [f"{host}{x}".encode() for x in heads]
-                    row += [i] * len(heads)
+                    if len(host) <= characters:
+                        probes += [f"{host}{x}".encode() for x in heads]
+                        row += [i] * len(heads)
                     host = host.partition(".")[2]
             best: list[bytes | None] = [None] * len(hosts)
             found = array.find(probes)

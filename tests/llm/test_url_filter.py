@@ -38,3 +38,15 @@ def test_equal_digests_are_told_apart(tmp_path):
     array = DigestArray.opened(str(tmp_path / "rules"))
     found = array.find([*texts, b"zz", b"zzz", b"zzzz"], digest)
     assert [array.text(i) for i in found[:50]] == texts and list(found[50:]) == [-1, -1, -1]
+
+
+def test_very_long_urls_and_ties(spark):
+    """Hosts of many labels cost no more than their length; of equally long rules the longest host's wins."""
+    rules = [*URL_RULES, ("block", "b.com", "/x"), ("allow", "com", "/xyz")]
+    dots, word, path = "." * 200_000 + "example.com", "a" * 300_000 + ".net", "/en/" + "p" * 300_000
+    urls = [f"http://{dots}/en/", f"http://{word}/es/", f"http://example.com{path}", "http://a.b.com/xyz", "http://b.com/xyz", "http://c.com/xyz"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in filter_urls(pages, rules).collect()}
+    assert got[0] == (dots, "/en/", "example.com/en/", "block") and got[1] == (word, "/es/", "net/es/", "block")
+    assert got[2] == ("example.com", path, "example.com/en/", "block")
+    assert [got[i][2:] for i in (3, 4, 5)] == [("b.com/x", "block"), ("b.com/x", "block"), ("com/xyz", "allow")]
