@@ -1,8 +1,8 @@
 """Structured Streaming forms of the steps that keep state from row to row.
 
-Steps that need an exact first row or a running counter work per micro-batch against what
-the batches before it wrote. Each writes a ``batch_id`` folder of its own and reads only
-smaller ones, so a batch that is run again after a failure gives the same files.
+Seen URLs are keyed state. Inserts and the token counter work per micro-batch against what the batches before
+it wrote: the folders of the store that its rows belong to, the counter that the last batch left. A batch that
+is run again after a failure gives the same rows once.
 """
 
 from __future__ import annotations
@@ -11,17 +11,16 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState
 from pyspark.sql.types import StructType
 
 from pageloom.functions.names import worker_name
-from pageloom.operators.store import KEYS, upsert_annotations
 from pageloom.operators.tokens import token_batches, token_state
 from pageloom.operators.urls import screen_urls
+from pageloom.sources.annotation_store import BUCKETS, AnnotationStore
 
 
 def first_seen_stream(
@@ -39,17 +38,6 @@ def first_seen_stream(
     return passed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["canonical_url"])
 
 
-def _earlier(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
-    """What the batches before ``batch_id`` wrote; empty at the start."""
-    try:
-        found = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        found = spark.createDataFrame([], f"{schema}, batch_id bigint")
-    return found.where(F.col("batch_id") < batch_id)
-
-
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
@@ -129,16 +117,16 @@ def first_seen_job(stream: DataFrame, output: str, checkpoint: str, url: str = "
 
 
 def upsert_job(
-    stream: DataFrame, store: str, checkpoint: str, seq: tuple[str, ...] = ("seq", "pos")
+    stream: DataFrame, store: str, checkpoint: str, seq: tuple[str, ...] = ("seq", "pos"), buckets: int = BUCKETS
 ) -> DataStreamWriter:
-    """Insert annotations whose slugs are new in their container; others are skipped."""
-    columns = ["container_slug", "annotation_slug", "payload"]
+    """Insert annotations whose keys are new in their container into the ``AnnotationStore`` at ``store``.
+
+    A batch opens the containers and buckets that it has rows for; containers that are missing are created. A
+    batch that is run again finds its version and writes nothing.
+    """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        schema = ", ".join(f"{c} string" for c in columns)
-        existing = _earlier(batch.sparkSession, store, batch_id, schema)
-        inserted = upsert_annotations(batch, existing.select(*KEYS), seq).select(*columns)
-        _write_batch(inserted, store, batch_id)
+        AnnotationStore(batch.sparkSession, store, buckets).insert(batch, seq, tag=f"{checkpoint} {batch_id}", create_missing=True)
 
     return _job(stream, work, checkpoint)
 

@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from pageloom.sources.annotation_store import AnnotationStore
 from pageloom.streaming import jobs
 from tests.test_tokens import one_pass
 
@@ -102,7 +103,7 @@ def test_upsert_job_skips_what_is_stored(spark, tmp_path):
     finish(jobs.upsert_job(feed(spark, spark.createDataFrame(rows, schema), tmp_path / "in"), store, check))
     later = spark.createDataFrame([(9, 0, "c", "a", "9"), (8, 0, "d", "a", "8")], schema)
     finish(jobs.upsert_job(feed(spark, later, tmp_path / "in"), store, check))
-    got = spark.read.parquet(store).select("container_slug", "annotation_slug", "payload").collect()
+    got = AnnotationStore(spark, store).annotations().collect()
     assert sorted(map(tuple, got)) == [("c", "a", "1"), ("c", "b", "3"), ("d", "a", "8")]
 
 

@@ -17,6 +17,7 @@ from pageloom.operators.urls import url_decision
 from pageloom.plans import runs
 from pageloom.session import shared_folder, shared_table
 from pageloom.sources import tables, warc
+from pageloom.sources.annotation_store import AnnotationStore
 from pageloom.streaming import jobs
 from workload import common as C
 from workload.answer_queries import GENERATOR
@@ -105,7 +106,7 @@ def upload_summary(spark, sf):
     return S.upload_summary(_containers(spark, sf), decisions)
 
 
-FIRST = "crawl-rec-one-20260101000000000-0"
+FIRST, SECOND = "crawl-rec-one-20260101000000000-0", "crawl-rec-one-20260101000000000-1"
 
 
 def replace_container(spark, sf):
@@ -116,6 +117,20 @@ def replace_container(spark, sf):
     return after.containers.select("container_slug", "label").join(counts, "container_slug", "left").fillna(0)
 
 
+def stored_containers(spark, sf):
+    """A store on disk: created, filled, one container replaced, filled again and one deleted; then read back."""
+    store = AnnotationStore(spark, shared_folder(spark))
+    containers, rows = _containers(spark, sf), shared_table(_doubled(spark, sf))
+    store.create(containers)
+    early = rows.where(F.col("payload").contains("https:"))
+    store.insert(early, C.ORDER)
+    store.create(containers.where(F.col("container_slug") == FIRST).withColumn("label", F.lit("anew")))
+    store.insert(rows, C.ORDER)
+    store.delete(SECOND)
+    counts = store.annotations().groupBy("container_slug").agg(F.count("*").alias("annotations"), F.min("payload").alias("payload"))
+    return store.containers().select("container_slug", "label").join(counts, "container_slug", "left").fillna(0)
+
+
 def delete_container(spark, sf):
     return S.delete_container(_store(spark, sf), FIRST).annotations
 
@@ -366,7 +381,7 @@ def stream_upsert(spark, sf):
     source, store, checkpoint = (shared_folder(spark) for _ in range(3))
     rows = _doubled(spark, sf).withColumnRenamed("page_id", "seq")
     _in_parts(rows, source, lambda stream: jobs.upsert_job(stream, store, checkpoint))
-    return spark.read.parquet(store).select("container_slug", "annotation_slug", "payload")
+    return AnnotationStore(spark, store).annotations()
 
 
 def stream_token_batches(spark, sf):
@@ -392,7 +407,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         token_counts, token_counts_exact, token_batches, token_batches_sharded, token_state,
-        annotation_upsert, upsert_counts, upload_summary, replace_container, delete_container,
+        annotation_upsert, upsert_counts, upload_summary, replace_container, stored_containers, delete_container,
         container_deleted, get_container, run_container, collection_assemble, collection_stats,
         collection_flatten, load_collection, collection_files, resume_unprocessed, resume_decision,
         resume_decision_compat, checkpoint_records, checkpoint_files, run_summary,
@@ -470,6 +485,11 @@ ORACLES = {
         count(e.page_id) filter (where s.container_slug <> '{FIRST}') as annotations
         from (select distinct 'crawl-' || replace(warc_filename, '.warc.gz', '') as container_slug from base) s
         left join existing e using (container_slug) group by 1""",
+    "stored_containers": f"""with {C.SQL_ANNOTATIONS} select s.container_slug,
+        case when s.container_slug = '{FIRST}' then 'anew' else 'Set - ' || s.container_slug end as label,
+        count(i.page_id) as annotations, min(i.payload) as payload
+        from (select distinct 'crawl-' || replace(warc_filename, '.warc.gz', '') as container_slug from base) s
+        left join incoming i using (container_slug) where s.container_slug <> '{SECOND}' group by 1""",
     "delete_container": f"""{_EXISTING} select container_slug, annotation_slug, payload from existing
         where container_slug <> '{FIRST}'""",
     "container_deleted": "select count(*) > 0 as deleted from pages where page_id % 4 = 0",
