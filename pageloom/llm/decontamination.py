@@ -23,6 +23,8 @@ SIMILAR = 0.8
 # Words of benchmark text that a task holds at once; more are taken in as many passes as it needs.
 WORDS_AT_ONCE = 1 << 20
 FILTER_BITS = 22
+# Pairs of places of one seed above which diagonals are marked in place of listing the pairs, and pairs listed at once.
+PAIRED, AT_ONCE = 50_000, 1 << 20
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
@@ -41,8 +43,8 @@ def _under(hashes: np.ndarray, mask: tuple[int, ...], n: int) -> np.ndarray:
 class Seeds:
     """Benchmark items by the hashes of their runs under each mask."""
 
-    def __init__(self, items: list[int], texts: list[bytes], overlap: int = OVERLAP, similar: float = SIMILAR):
-        self.items, self.overlap = items, overlap
+    def __init__(self, items: list[int], texts: list[bytes], overlap: int = OVERLAP, similar: float = SIMILAR, paired: int = PAIRED):
+        self.items, self.overlap, self.paired = items, overlap, paired
         self.least = int(np.ceil(similar * overlap - 1e-9))
         words = Words([normal(t) for t in texts])
         self.hash, self.first, self.last = words.hash, words.first, words.last
@@ -74,18 +76,51 @@ class Seeds:
             near = near[words.text[near] == words.text[near + mask[-1]]]
             low = np.searchsorted(seed, run[near])
             count = np.searchsorted(seed, run[near], side="right") - low
-            take = np.repeat(low - np.append(0, np.cumsum(count)[:-1]), count) + np.arange(count.sum())
-            where = np.repeat(near, count)
-            found.append(np.stack([own[take], words.text[where], where - (at[take] - self.first[own[take]])]))
+            # A seed that a repetitive text and a repetitive item have very often: its places are not paired one by one.
+            first, nth, times = np.unique(low, return_inverse=True, return_counts=True)
+            hot = (times[nth] * count > self.paired) & (count > 0)
+            for start in first[np.unique(nth[hot])].tolist():
+                mine = near[(low == start) & hot]
+                entries = slice(start, start + int(count[np.flatnonzero((low == start) & hot)[0]]))
+                found += self._diagonals(own[entries], at[entries], words.text[mine], mine)
+            near, low, count = near[~hot], low[~hot], count[~hot]
+            ends = np.cumsum(count)
+            begin = 0
+            while begin < len(near):
+                end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + AT_ONCE, side="right")))
+                some = slice(begin, end)
+                total = np.cumsum(count[some])
+                take = np.repeat(low[some] - np.append(0, total[:-1]), count[some]) + np.arange(total[-1])
+                where = np.repeat(near[some], count[some])
+                pairs = np.stack([own[take], words.text[where], where - (at[take] - self.first[own[take]])])
+                found.append(pairs if end == len(near) and not begin else np.unique(pairs, axis=1))
+                begin = end
         if not found:
             return np.zeros((3, 0), np.int64)
         return np.unique(np.concatenate(found, axis=1), axis=1)
 
+    def _diagonals(self, items, at, texts, places):
+        """As ``hits`` for the places of one seed in items and in texts, in time of their product but memory of their span."""
+        for item in np.unique(items).tolist():
+            inner = at[items == item] - self.first[item]
+            for text in np.unique(texts).tolist():
+                outer = places[texts == text]
+                base = int(outer.min() - inner.max())
+                mark = np.zeros(int(outer.max() - inner.min()) - base + 1, bool)
+                few, many, sign = (inner, outer, -1) if len(inner) < len(outer) else (outer, -inner, 1)
+                for one in few.tolist():
+                    mark[many + sign * one - base] = True
+                place = np.flatnonzero(mark) + base
+                yield np.stack([np.full(len(place), item), np.full(len(place), text), place])
+
     def leaks(self, words: Words):
         """(text, item, first word, words covered, words equal) of each hit that holds out, one per text and item."""
         item, text, place = self.hits(words)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for i, t, p in zip(item.tolist(), text.tolist(), place.tolist(), strict=True):
+            if best.get((t, i), (0,))[0] == int(self.last[i] - self.first[i]):
+                # The whole item stands there already, and further left.
+                continue
             a, b = max(p, int(words.first[t])), min(p + int(self.last[i] - self.first[i]), int(words.last[t]))
             same = words.hash[a:b] == self.hash[self.first[i] + a - p : self.first[i] + b - p]
             size = int(self.last[i] - self.first[i])

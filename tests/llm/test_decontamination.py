@@ -1,4 +1,5 @@
 import random
+import time
 from itertools import combinations
 
 import pytest
@@ -63,3 +64,31 @@ def test_empty(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert d.leaks(docs, none).collect() == []
     assert d.leaks(docs.limit(0), none.unionAll(docs)).collect() == []
+
+
+def test_repetitive_texts_and_items():
+    """Seeds that stand very often on both sides: all columns are those of listing every pair."""
+    rnd = random.Random(6)
+    units = ["a", "a b", "a b c a", "x y"]
+    texts = [" ".join([rnd.choice(units)] * rnd.choice([3, 20, 60]) + rnd.choices("abxyz", k=rnd.choice([0, 5]))) for _ in range(12)]
+    texts = [f"{t} {rnd.choice(texts)}" for t in texts]
+    items = [" ".join([u] * k) for u in units for k in (1, 5, 14, 33)] + [texts[0], " ".join(texts[1].split()[:30])]
+    found = [
+        d.Seeds(list(range(len(items))), [t.encode() for t in items], paired=p).leaks(d.Words([d.normal(t.encode()) for t in texts]))
+        for p in (0, 7, 1 << 40)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert {(t, i) for t, i, *_ in found[0]} == brute(list(enumerate(texts)), list(enumerate(items)))
+    for t, i, first, covered, equal in found[0]:
+        # The place where most words are equal, the leftmost of such.
+        text, item = texts[t].split(), items[i].split()
+        most = max(sum(a == b for a, b in zip(text[p:], item)) for p in range(len(text)))
+        assert equal <= min(most, covered) and covered <= len(item) and 0 <= first < len(text)
+
+
+def test_one_word_over_and_over():
+    """A text and an item of one word repeated are judged in seconds."""
+    start = time.monotonic()
+    found = d.Seeds([1], [b"zero " * 1_000]).leaks(d.Words([b"zero " * 100_000, b"zero one " * 30_000]))
+    assert found == [(0, 0, 0, 1_000, 1_000)]
+    assert time.monotonic() - start < 30
