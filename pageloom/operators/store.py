@@ -135,14 +135,20 @@ def get_container(store: Store, slug: str) -> DataFrame:
     return held.unionByName(empty, allowMissingColumns=True)
 
 
-def collection_annotations(collections: DataFrame, prefix: str = CONTAINER_PREFIX) -> DataFrame:
-    """Annotations of nested collections, one row each, with their slugs.
+def collection_items(collections: DataFrame, prefix: str = CONTAINER_PREFIX) -> DataFrame:
+    """Every item of nested collections, one row each, with its slugs and a ``reason`` if it cannot be stored.
 
     ``seq`` is the number of the page in its collection, from 0 and whatever the parts, and
-    ``pos`` the place in the page; annotations without an id are left out.
+    ``pos`` the place in the page. The reason is ``not_json``, ``no_id``, ``null_id``, or NULL.
     """
     slug = container_slug(F.col("id"), label_filename(F.col("label")), prefix)
     before = F.col("first_page") if "first_page" in collections.columns else F.lit(0)
+    reason = (
+        F.when(F.col("_item").isNull(), "not_json")
+        .when(F.col("_id").isNotNull(), None)
+        .when(F.try_variant_get("_item", "$.id", "variant").isNull(), "no_id")
+        .otherwise("null_id")
+    )
     return (
         collections.select(
             slug.alias("container_slug"), F.coalesce(before, F.lit(0)).cast("long").alias("_before"), F.posexplode("items").alias("_nr", "_page")
@@ -150,17 +156,27 @@ def collection_annotations(collections: DataFrame, prefix: str = CONTAINER_PREFI
         .select("container_slug", (F.col("_before") + F.col("_nr")).alias("seq"), F.posexplode("_page.items").alias("pos", "_json"))
         .withColumn("_item", F.try_parse_json("_json"))
         .withColumn("_id", F.try_variant_get("_item", "$.id", "string"))
-        .where("_id is not null")
         .select(
             "container_slug",
             annotation_slug(F.col("_id")).alias("annotation_slug"),
             payload(F.col("_item")).alias("payload"),
             "seq",
             "pos",
+            reason.alias("reason"),
         )
     )
 
 
+def collection_annotations(collections: DataFrame, prefix: str = CONTAINER_PREFIX) -> DataFrame:
+    """The items of nested collections that can be stored, see ``collection_items``."""
+    return collection_items(collections, prefix).where("reason is null").drop("reason")
+
+
+def collection_rejects(collections: DataFrame, prefix: str = CONTAINER_PREFIX) -> DataFrame:
+    """The items that cannot: where they stand and why."""
+    return collection_items(collections, prefix).where("reason is not null").select("container_slug", "seq", "pos", F.col("reason").alias("error"))
+
+
 def collection_containers(collections: DataFrame, prefix: str = CONTAINER_PREFIX) -> DataFrame:
     slug = container_slug(F.col("id"), label_filename(F.col("label")), prefix)
     return collections.select(*container_row(slug, F.col("label"))).dropDuplicates(["container_slug"])
@@ -174,11 +190,14 @@ def load_collection(
 ) -> tuple[Store, DataFrame]:
     """Load nested collections: the store after it and a summary row per container.
 
-    With ``write_decisions`` the store and the summary read one table of what is new; else
+    Items that are no JSON or whose id is null count as ``errors``; those without an id are passed over. With ``write_decisions`` the store and the summary read one table of what is new; else
     each works it out.
     """
     created = collection_containers(collections, prefix)
-    incoming = collection_annotations(collections, prefix)
+    items = collection_items(collections, prefix)
+    if write_decisions:
+        items = shared_table(items)
+    incoming = items.where("reason is null").drop("reason")
     cleared = replace_containers(store, created)
     decisions = upsert_decisions(incoming, cleared.annotations, ("seq", "pos"))
     if write_decisions:
@@ -186,7 +205,7 @@ def load_collection(
     inserted = decisions.where("is_new").select(*KEYS, "payload")
     return (
         Store(cleared.containers, cleared.annotations.unionByName(inserted)),
-        upload_summary(created, decisions),
+        upload_summary(created, decisions, items.where("reason in ('not_json', 'null_id')").select("container_slug", F.col("reason").alias("error"))),
     )
 
 

@@ -188,6 +188,26 @@ def load_collection(spark, sf):
     return S.load_collection(_store(spark, sf), shared_table(_collections(spark, sf)))[1]
 
 
+def _damaged(spark, sf):
+    """The collections, of which each page has two further items: one without an id or with a null one, and one that is no JSON."""
+
+    def odd(i):
+        return F.when(i % 2 == 0, F.lit('{"body": 1}')).otherwise(F.lit('{"id": null}'))
+
+    more = F.transform("items", lambda p, i: F.struct(p["id"].alias("id"), F.concat(p["items"], F.array(odd(i), F.lit("{broken"))).alias("items")))
+    return shared_table(_collections(spark, sf).withColumn("items", more))
+
+
+def collection_rejects(spark, sf):
+    rejects = S.collection_rejects(_damaged(spark, sf))
+    return rejects.groupBy("container_slug", "error").agg(F.count("*").alias("items"), F.min("pos").alias("least_pos"))
+
+
+def load_damaged_collection(spark, sf):
+    """Summary of a load whose items cannot all be stored."""
+    return S.load_collection(_store(spark, sf), _damaged(spark, sf), write_decisions=True)[1]
+
+
 def collection_files(spark, sf):
     """Collection documents written as JSON and loaded from the files."""
     folder = shared_folder(spark)
@@ -409,7 +429,7 @@ QUERIES = {
         token_counts, token_counts_exact, token_batches, token_batches_sharded, token_state,
         annotation_upsert, upsert_counts, upload_summary, replace_container, stored_containers, delete_container,
         container_deleted, get_container, run_container, collection_assemble, collection_stats,
-        collection_flatten, load_collection, collection_files, resume_unprocessed, resume_decision,
+        collection_flatten, load_collection, collection_rejects, load_damaged_collection, collection_files, resume_unprocessed, resume_decision,
         resume_decision_compat, checkpoint_records, checkpoint_files, run_summary,
         crawl_run_summary, resume_run, resume_after_failure,
         resume_entities, reload_run, warc_scan, warc_urls, warc_stats,
@@ -507,6 +527,18 @@ ORACLES = {
     "collection_flatten": _FLATTENED,
     "load_collection": f"""{_EXISTING} select container_slug, true as container_created,
         count(*) as annotations_uploaded, 0::bigint as annotations_skipped, 0::bigint as errors from incoming group by 1""",
+    "collection_rejects": f"""{_COLLECTIONS}, rejected as (
+          select warc_filename, 'no_id' as error, 1 as pos from members where kind = 3
+          union all select warc_filename, case when nr % 2 = 0 then 'no_id' else 'null_id' end, n from members
+          union all select warc_filename, 'not_json', n + 1 from members)
+        select 'crawl-' || replace(warc_filename, '.warc.gz', '') as container_slug, error, count(*) as items,
+          min(pos)::integer as least_pos from rejected group by 1, 2""",
+    "load_damaged_collection": f"""{_COLLECTIONS}, errors as (
+          select 'crawl-' || replace(warc_filename, '.warc.gz', '') as container_slug, count(*) + sum(nr % 2)::bigint as errors
+          from members group by 1),
+        found as (select container_slug, count(*) as annotations_uploaded from incoming group by 1)
+        select container_slug, true as container_created, annotations_uploaded, 0::bigint as annotations_skipped, errors::bigint as errors
+        from found join errors using (container_slug)""",
     "collection_files": f"select container_slug, annotation_slug, payload from ({_FLATTENED})",
     "resume_unprocessed": "select page_id, url from pages where starts_with(url, 'https:')",
     "resume_decision": _LEFT.format(seen="true") + _JUDGED,
