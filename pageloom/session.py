@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
+# A task that writes or reads whole texts holds a row group of them.
+ROW_GROUP_BYTES = 32 << 20
+
 
 def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
@@ -62,7 +65,7 @@ def shared_table(df: DataFrame) -> DataFrame:
     true size, so a later join broadcasts it only below ``autoBroadcastJoinThreshold``.
     """
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -76,7 +79,7 @@ class Scratch:
         """As ``shared_table``; nothing may read it after ``drop``."""
         path = shared_folder(df.sparkSession)
         self._paths.append((df.sparkSession, path))
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
