@@ -158,9 +158,9 @@ def _chunk_starts(
     if state is None:
         summaries = summaries.select("*", *first)
     else:
-        known = state.select("shard", "token_count", F.col("batch").alias("batch_count"))
+        known = state.select(F.col("shard").alias("known"), "token_count", F.col("batch").alias("batch_count"))
         found = [F.coalesce("token_count", F.lit(start_tokens)).alias("start_tokens"), F.coalesce("batch_count", F.lit(start_batch)).alias("start_batch")]
-        summaries = summaries.join(known, "shard", "left").select(*summaries.columns, *found)
+        summaries = summaries.join(known, F.col("shard").eqNullSafe(F.col("known")), "left").select(*summaries.columns, *found)
     return summaries.groupBy("shard").applyInPandas(
         follow,
         "shard string, chunk int, used_in bigint, batch_in bigint, used_out bigint, batch_out bigint",
@@ -192,13 +192,14 @@ def token_batches(
     """``(seq, batch)``: the batch every row falls in under a token budget.
 
     The result equals one pass over all rows in the order of ``seq``, but every task folds
-    one ordered chunk from its own start. ``shard`` gives each of its values a budget of
+    one ordered chunk from its own start. ``shard`` gives each of its values, null too, a budget of
     its own. ``state``, as ``load_state`` gives it, goes on from where a run stopped: its shards
     start from their own counters. The narrow columns are read three times: let them come from a table.
     """
     tagged = _tagged(df, seq, prompt, completion, shard, rows_per_chunk)
     # One row per shard and chunk.
-    starts = _chunk_starts(tagged, budget, start_tokens, start_batch, state)
+    starts = _chunk_starts(tagged, budget, start_tokens, start_batch, state).withColumnsRenamed({"shard": "_shard", "chunk": "_chunk"})
+    own = F.col("shard").eqNullSafe(F.col("_shard")) & (F.col("chunk") == F.col("_chunk"))
 
     def label(key, rows):
         rows, fold = _sorted_fold(rows, budget)
@@ -206,7 +207,7 @@ def token_batches(
         return pd.DataFrame({"shard": key[0], "seq": rows["seq"], "batch": batch})
 
     labelled = (
-        tagged.join(starts, ["shard", "chunk"])
+        tagged.join(starts, own)
         .groupBy("shard", "chunk")
         .applyInPandas(label, "shard string, seq bigint, batch bigint")
     )

@@ -140,8 +140,22 @@ def budget_job(
     seq: str = "seq",
     prompt: str = "prompt_tokens",
     completion: str = "completion_tokens",
+    shard: str | None = None,
 ) -> DataStreamWriter:
-    """Token batches with the counter carried from batch to batch and over restarts."""
+    """Token batches with the counter carried from batch to batch and over restarts.
+
+    With ``shard`` each of its values, null too, has a budget and a counter of its own; a batch then leaves one row for every
+    shard so far in ``state``, which the next one starts from. Rows are folded in chunks, so a shard may hold most rows.
+    """
+
+    def work_sharded(batch: DataFrame, batch_id: int) -> None:
+        spark, schema = batch.sparkSession, "shard string, token_count bigint, batch bigint"
+        before = spark.read.schema(schema).parquet(f"{state}/batch_id={batch_id - 1}") if batch_id else spark.createDataFrame([], schema)
+        args = {"seq": seq, "prompt": prompt, "completion": completion, "shard": shard, "state": before}
+        _write_batch(token_batches(batch, budget, **args), output, batch_id)
+        after = token_state(batch, budget, **args).withColumnRenamed(shard, "shard")
+        idle = before.join(after.select(F.col("shard").alias("moved")), F.col("shard").eqNullSafe(F.col("moved")), "left_anti")
+        _write_batch(after.select("shard", "token_count", "batch").unionByName(idle), state, batch_id)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         schema = "token_count bigint, batch bigint"
@@ -156,7 +170,7 @@ def budget_job(
             after = batch.sparkSession.createDataFrame([(used, number)], schema)
         _write_batch(after, state, batch_id)
 
-    return _job(stream, work, checkpoint)
+    return _job(stream, work_sharded if shard else work, checkpoint)
 
 
 def entity_stream(stream: DataFrame, output: str, checkpoint: str) -> DataStreamWriter:

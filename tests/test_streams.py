@@ -120,6 +120,24 @@ def test_budget_is_carried_over_a_restart(spark, tmp_path):
     assert (state.token_count, state.batch) == (used, last)
 
 
+def test_budgets_of_shards_are_carried_over_restarts(spark, tmp_path):
+    """Each shard equals one pass over its own rows: one without rows in a part, a null one, one of most rows."""
+    name = lambda i: "b" if i < 25 and i % 5 == 0 else None if i % 7 == 0 else "a"
+    rows = [(i, (i * 37) % 90, (i * 11) % 40, name(i)) for i in range(60)]
+    schema = "seq long, prompt_tokens long, completion_tokens long, who string"
+    paths = [str(tmp_path / n) for n in ("out", "state", "ck")]
+    for part in (rows[:25], rows[25:40], rows[40:]):
+        finish(jobs.budget_job(feed(spark, spark.createDataFrame(part, schema), tmp_path / "in"), *paths, 200, shard="who"))
+    got = {r.seq: (r.who, r.batch) for r in spark.read.parquet(paths[0]).collect()}
+    state = {r.shard: (r.token_count, r.batch) for r in spark.read.parquet(f"{paths[1]}/batch_id=2").collect()}
+    assert len(got) == 60 and set(state) == {"a", "b", None}
+    for who in state:
+        own = [r for r in rows if r[3] == who]
+        expected, used, last = one_pass([r[1] for r in own], [r[2] for r in own], 200)
+        assert [got[r[0]] for r in own] == [(who, b) for b in expected]
+        assert state[who] == (used, last)
+
+
 def test_entity_stream_appends_per_worker(spark, tmp_path):
     schema = "entity struct<name:string,type:string>, source struct<url:string,warc_filename:string>"
     df = spark.createDataFrame([(("n", None), ("u", "a-3.warc.gz"))], schema)

@@ -411,6 +411,14 @@ def stream_token_batches(spark, sf):
     return spark.read.parquet(output).select("seq", "batch")
 
 
+def stream_token_batches_sharded(spark, sf):
+    """A third of the budget for each of three shards, over restarts."""
+    source, output, state, checkpoint = (shared_folder(spark) for _ in range(4))
+    turns = shared_table(_turns(spark, sf))
+    _in_parts(turns, source, lambda stream: jobs.budget_job(stream, output, state, checkpoint, BUDGET // 3, shard="shard"))
+    return spark.read.parquet(output).select("seq", "batch", "shard")
+
+
 def stream_entities(spark, sf):
     source, output, checkpoint = (shared_folder(spark) for _ in range(3))
     from pageloom.operators.entities import entities
@@ -434,7 +442,7 @@ QUERIES = {
         crawl_run_summary, resume_run, resume_after_failure,
         resume_entities, reload_run, warc_scan, warc_urls, warc_stats,
         warc_record_counts, stream_first_seen, stream_first_seen_ordered, stream_upsert,
-        stream_token_batches, stream_entities,
+        stream_token_batches, stream_token_batches_sharded, stream_entities,
     )
 }
 QUERIES["token_estimate"] = QUERIES.pop("token_counts")
@@ -581,6 +589,8 @@ ORACLES = {
     "stream_first_seen_ordered": f"""with {SQL_CANONICAL}
         select page_id as seq, url, canonical_url from decided where reject_reason is null""",
     "stream_upsert": f"""with {C.SQL_ANNOTATIONS} select distinct container_slug, annotation_slug, payload from incoming""",
+    "stream_token_batches_sharded": f"""{_fold(BUDGET // 3, '(conv_id % 3)')}
+        select seq, own as batch, shard::varchar as shard from fold where nr > 0""",
     "stream_token_batches": f"{_fold(BUDGET, '0')} select seq, own as batch from fold where nr > 0",
     "stream_entities": _ENTITY_FILES,
 }
