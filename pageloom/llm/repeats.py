@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.tables import Words, chunks, mixed
+from pageloom.llm.tables import Words, chunks, give_back, mixed
 from pageloom.session import shared_table
 
 BLOCK_BYTES = 2 << 20
@@ -226,6 +226,7 @@ class Repeats:
                     (number, 0, i, packed([low[a:b], many[a:b], hashes[c:d, 0], hashes[c:d, 1], key[c:d]]))
                     for i, (a, b, c, d) in enumerate(zip(cut[:-1], cut[1:], text_cut[:-1], text_cut[1:])) if b > a or d > c
                 ])
+            give_back()
 
         return blocks.mapInArrow(asked, SCHEMA)
 
@@ -254,6 +255,7 @@ class Repeats:
                     (number, 1, bucket, packed([found[e - len(p[0]) : e], copy[t - len(p[4]) : t]]))
                     for (number, _, _, _), p, e, t in zip(rows, parts, ends.tolist(), text_ends.tolist(), strict=True)
                 ])
+            give_back()
 
         return asked.repartitionById(buckets, "bucket").mapInArrow(answered, SCHEMA)
 
@@ -273,6 +275,7 @@ class Repeats:
                 # A copy goes whole, and what it holds stands earlier elsewhere.
                 open_ = ~copy[np.searchsorted(block.first, start, side="right") - 1]
                 yield _batch(self._sent(number, block, copy, start[open_], count[open_], values[place[open_]], state[place[open_]], shards))
+            give_back()
 
         joined = blocks.unionByName(answers)
         return joined.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(sent, SCHEMA)
@@ -328,6 +331,7 @@ class Repeats:
                 yield _batch([row for row in rows if row[1] == 3])
                 if rows[0][1] == 2:
                     yield _batch(self._shard([row for row in rows if row[1] == 2]))
+                    give_back()
 
         return passages.repartitionById(shards, "bucket").sortWithinPartitions("kind").mapInArrow(judged, SCHEMA)
 
@@ -392,6 +396,7 @@ class Repeats:
         def cut(batches):
             for _, rows in _groups(_rows(batches), 0):
                 yield from self._cut(Block(rows[0][3], self.words), rows[1:])
+            give_back()
 
         out = blocks.unionByName(judged).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(
             cut, "key long, n_tokens long, n_removed long, n_spans long, kept binary, extra string"
