@@ -35,11 +35,13 @@ from pageloom.llm.tables import Words, chunks, give_back, mixed
 from pageloom.session import shared_table
 
 BLOCK_BYTES = 2 << 20
-SEGMENT = 1 << 19
+SEGMENT = 1 << 17
 # Blocks whose anchors, or passages, fill one bucket or shard.
 BLOCKS_TOGETHER = 8
 HOT = 2_000
 RUN = 1_024
+# Bytes of passages that are judged at once, and windows that are laid over a block's texts at once.
+PORTION, WINDOWS = 2 << 20, 1 << 17
 LAST = np.iinfo(np.int64).max
 SCHEMA = "block long, kind int, bucket int, data binary"
 
@@ -337,19 +339,40 @@ class Repeats:
 
     def _shard(self, rows):
         parts = [unpacked(data, ["<u4", "<u4", "<i8", "<u4", "<u4", bytes]) for _, _, _, data in rows]
-        names: dict[bytes, int] = {}
-        which = []
-        for *_, lengths, joined in parts:
-            end = 0
-            for n in lengths.tolist():
-                which.append(names.setdefault(joined[end : end + n], len(names)))
-                end += n
-        which = np.array(which)
         sizes = [len(p[0]) for p in parts]
+        part = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
+        end = np.concatenate([np.cumsum(p[4], dtype=np.int64) for p in parts])
         own = np.concatenate([np.cumsum(p[0], dtype=np.int64) for p in parts])
-        anchor, key, start = (np.concatenate([p[i] for p in parts]) for i in range(1, 4))
+        anchor, key, start, length = (np.concatenate([p[i] for p in parts]) for i in range(1, 5))
         if not self.words:
             start = np.zeros(len(key), np.int64)
+        joined = [p[5] for p in parts]
+        del parts
+        # Equal windows have equal anchors, so a few anchors at a time are judged.
+        by_anchor = np.argsort(anchor, kind="stable")
+        begin = np.flatnonzero(np.append(True, np.diff(anchor[by_anchor]) != 0))
+        begin = np.append(begin, len(anchor))
+        found = []
+        for a, b in _portions(np.add.reduceat(length[by_anchor].astype(np.int64), begin[:-1]), PORTION):
+            some = by_anchor[begin[a] : begin[b]]
+            texts = (joined[i][e - n : e] for i, e, n in zip(part[some].tolist(), end[some].tolist(), length[some].tolist(), strict=True))
+            row, *windows = self._portion(texts, anchor[some], key[some], start[some])
+            found.append((some[row], *windows))
+        row, begin, many = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(row, kind="stable")
+        row, begin, many = row[order], begin[order], many[order]
+        ends = np.searchsorted(row, np.cumsum(sizes))
+        last = 0
+        for (number, _, bucket, _), end in zip(rows, ends.tolist(), strict=True):
+            if end > last:
+                cut = slice(last, end)
+                yield number, 4, bucket, packed([own[row[cut]].astype("<u4"), begin[cut], many[cut]])
+            last = end
+
+    def _portion(self, passages, anchor, key, start):
+        """Place of the passage, first window and number of the runs of windows that stand earlier."""
+        names: dict[bytes, int] = {}
+        which = np.array([names.setdefault(text, len(names)) for text in passages])
         order = np.lexsort((start, key, which))
         lead = order[np.append(True, np.diff(which[order]) != 0)]
         rank = np.lexsort((start[lead], key[lead], anchor[lead]))
@@ -373,15 +396,8 @@ class Repeats:
         row = np.concatenate([np.repeat(np.arange(len(at)), n), np.flatnonzero(later)])
         begin = np.concatenate([begin[take], np.zeros(later.sum(), np.int64)])
         many = np.concatenate([many[take], size[at[later]]])
-        order = np.argsort(row, kind="stable")
-        row, begin, many = row[order], begin[order], many[order]
-        ends = np.searchsorted(row, np.cumsum(sizes))
-        last = 0
-        for (number, _, bucket, _), end in zip(rows, ends.tolist(), strict=True):
-            if end > last:
-                cut = slice(last, end)
-                yield number, 4, bucket, packed([own[row[cut]].astype("<u4"), begin[cut].astype("<u2"), many[cut].astype("<u2")])
-            last = end
+        # The widest fit two bytes, as passages have at most RUN windows.
+        return row, begin.astype("<u2"), many.astype("<u2")
 
     def kept(self, docs: DataFrame, key: str = "doc_id", text: str = "text", extra: str | None = None) -> DataFrame:
         """``key``, ``n_tokens``, ``n_removed``, ``n_spans``, ``kept`` (binary) and ``extra`` of every row of ``docs``.
@@ -396,7 +412,7 @@ class Repeats:
         def cut(batches):
             for _, rows in _groups(_rows(batches), 0):
                 yield from self._cut(Block(rows[0][3], self.words), rows[1:])
-            give_back()
+                give_back()
 
         out = blocks.unionByName(judged).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(
             cut, "key long, n_tokens long, n_removed long, n_spans long, kept binary, extra string"
@@ -410,29 +426,31 @@ class Repeats:
         size = np.zeros(passages, np.int64)
         size[which] = count
         base = np.cumsum(size) - size
-        gone = np.zeros(int(size.sum()) + 1, np.int64)
+        gone = np.zeros(int(size.sum()) + 1, np.int32)
         for _, _, _, data in rows[1:]:
             own, begin, many = unpacked(data, ["<u4", "<u2", "<u2"])
             np.add.at(gone, base[own] + begin, 1)
             np.add.at(gone, base[own] + begin + many, -1)
-        gone = np.cumsum(gone)[:-1] > 0
-        # Every window of every place.
-        n = int(count.sum())
-        shift = np.arange(n) - np.repeat(np.cumsum(count) - count, count)
-        drop = gone[np.repeat(base[which], count) + shift] | np.repeat(~first, count)
-        window = (np.repeat(start, count) + shift)[drop]
+        gone = np.cumsum(gone[:-1], dtype=np.int32) > 0
         cover = np.zeros(len(block.tokens) + 1, np.int32)
-        np.add.at(cover, window, 1)
-        np.add.at(cover, window + self.length, -1)
+        # Every window of every place, some places at a time.
+        for a, b in _portions(count, WINDOWS):
+            many = count[a:b]
+            shift = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            drop = gone[np.repeat(base[which[a:b]], many) + shift] | np.repeat(~first[a:b], many)
+            window = (np.repeat(start[a:b], many) + shift)[drop]
+            np.add.at(cover, window, 1)
+            np.add.at(cover, window + self.length, -1)
         np.add.at(cover, block.first[copy], 1)
         np.add.at(cover, block.last[copy], -1)
-        covered = np.cumsum(cover[:-1]) > 0
-        removed = np.append(0, np.cumsum(covered))
+        covered = np.cumsum(cover[:-1], dtype=np.int32) > 0
+        del cover
+        removed = _sums(covered)
         begins = covered.copy()
         begins[1:] &= ~covered[:-1]
         inner = block.first[(block.first > 0) & (block.first < len(covered))]
         begins[inner] = covered[inner]
-        spans = np.append(0, np.cumsum(begins))
+        spans = _sums(begins)
         kept = []
         raw = None if self.words else np.frombuffer(block.joined, np.uint8)
         for t, (a, b) in enumerate(zip(block.first.tolist(), block.last.tolist(), strict=True)):
@@ -450,6 +468,20 @@ class Repeats:
         )
 
 
+def _portions(sizes: np.ndarray, limit: int):
+    """Ranges of neighbours that make up about ``limit``, or one larger neighbour."""
+    part = np.cumsum(sizes) // limit
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+    return zip(edges[:-1], edges[1:], strict=True)
+
+
+def _sums(flags: np.ndarray) -> np.ndarray:
+    """How many are true before each place, and in all."""
+    out = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=out[1:])
+    return out
+
+
 def _runs(flags: list[np.ndarray]):
     """Owner, first place and length of each run of true values."""
     sizes = np.array([len(f) for f in flags], np.int64)

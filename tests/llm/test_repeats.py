@@ -1,8 +1,11 @@
+import json
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 
+from pageloom.llm import repeats as repeat_steps
 from pageloom.llm import substring_dedup, suffix_array_dedup
 
 
@@ -89,3 +92,45 @@ def test_long_text(spark):
         first, second = sorted(operator.without_repeats(docs).collect())
         assert first.n_removed == 0
         assert second.n_tokens - second.n_removed <= 3
+
+
+def _alone(rows, shards=1):
+    """The steps of one block in this process, where all anchors are taken to stand elsewhere, and the most memory of the last two."""
+    repeats = repeat_steps.Repeats(50, 18, False, suffix_array_dedup.earlier(50))
+    texts = [t for _, t in rows]
+    block = repeat_steps.Block(
+        repeat_steps.packed([
+            np.array([k for k, _ in rows], "<i8"), np.zeros(len(rows), bool), np.array([len(t) for t in texts], "<i8"),
+            b"".join(texts), json.dumps([None] * len(rows)).encode(),
+        ]),
+        False,
+    )
+    start, count, values, place, _, _ = repeats._values(block, shards)
+    first, *passages = repeats._sent(0, block, np.zeros(len(rows), bool), start, count, values[place], np.ones(len(place), np.uint8), shards)
+    tracemalloc.start()
+    judged = list(repeats._shard(passages))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    out = list(repeats._cut(block, [first, *judged]))
+    most = most, tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    return {r["key"]: (r["n_tokens"], r["n_removed"], r["n_spans"], r["kept"]) for b in out for r in b.to_pylist()}, most
+
+
+def test_portions(monkeypatch):
+    """Passages judged, and windows laid over texts, few at a time give the same results."""
+    monkeypatch.setattr(repeat_steps, "PORTION", 300)
+    monkeypatch.setattr(repeat_steps, "WINDOWS", 70)
+    rows = [(i, t or "") for i, t in enumerate(t for _, t in hard_cases([(0, "one text of some words " * 9), (1, "another of other words " * 40)]))]
+    assert _alone([(k, t.encode()) for k, t in rows])[0] == brute_bytes(rows)
+
+
+def test_memory_of_a_block():
+    """A block of 2 MB takes a few times its bytes, whatever of it is repeated."""
+    rnd = random.Random(4)
+    texts = [" ".join(str(rnd.randrange(1 << 20)) for _ in range(300)).encode() for _ in range(500)]
+    got, (shard, cut) = _alone(list(enumerate(texts + texts)))
+    assert all(got[i][1] == 0 and got[i + 500][1] == len(t) for i, t in enumerate(texts))
+    assert shard < 60e6
+    assert cut < 60e6
