@@ -1,4 +1,4 @@
-"""Many runs of words at once: an Aho-Corasick automaton whose letters are whole words."""
+"""Many runs of words at once: an Aho-Corasick automaton whose letters are whole words, and a filter for more of them."""
 
 from __future__ import annotations
 
@@ -85,3 +85,67 @@ class Matcher:
                 seen.add(ends[hit])
                 hit = above[hit]
         return sorted(seen)
+
+
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+class RunHashes:
+    """64-bit hashes of runs of words, from a hash of each word, by differences of one sum over all words."""
+
+    def __init__(self, words: np.ndarray):
+        powers = np.full(len(words) + 1, _BASE, np.uint64)
+        powers[0] = 1
+        np.multiply.accumulate(powers, out=powers)
+        self.total = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(words.view(np.uint64) * powers[:-1], out=self.total[1:])
+        self.back = np.full(len(words) + 1, _INVERSE, np.uint64)
+        self.back[0] = 1
+        np.multiply.accumulate(self.back, out=self.back)
+
+    def of(self, at: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        """The hashes of the runs of ``n`` words from ``at`` on."""
+        return _mixed((self.total[at + n] - self.total[at]) * self.back[at] + np.asarray(n).astype(np.uint64))
+
+
+def run_keys(runs: RunHashes, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What a filter holds of runs: each whole, and its beginning of as many words as the largest power of two has."""
+    begin = 1 << (np.frexp(n.astype(np.float64))[1].astype(np.int64) - 1)
+    return np.concatenate([runs.of(at, n), ~runs.of(at, begin)])
+
+
+def filter_bits(keys: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each key, of a power of two of them, and its three bits of that cell."""
+    one, six = np.uint64(1), np.uint64(63)
+    cell = (keys >> np.uint64(40)).astype(np.int64) & (cells - 1)
+    return cell, one << (keys & six) | one << (keys >> np.uint64(6) & six) | one << (keys >> np.uint64(12) & six)
+
+
+def may_stand(cells: np.ndarray, lengths: Sequence[int], words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and numbers of words of all runs that the filter holds, and of a few that it does not.
+
+    ``words`` are the hashes of the words of texts, ``ends`` says for each where its text ends, ``lengths`` how many words runs have.
+    """
+    runs, place = RunHashes(words), np.arange(len(words))
+
+    def held(keys):
+        cell, bits = filter_bits(keys, len(cells))
+        return cells[cell] & bits == bits
+
+    found = [(place[:0], place[:0])]
+    for level in sorted({1 << (n.bit_length() - 1) for n in lengths}):
+        at = place[place + level <= ends]
+        at = at[held(~runs.of(at, level))]
+        for n in lengths:
+            if level <= n < 2 * level:
+                own = at[at + n <= ends[at]]
+                own = own[held(runs.of(own, n))]
+                found.append((own, np.full(len(own), n)))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))

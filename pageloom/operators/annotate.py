@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.functions.text import annotation_id
-from pageloom.functions.words import Matcher, WordAutomaton
+from pageloom.functions.words import Matcher, RunHashes, WordAutomaton, filter_bits, may_stand, run_keys
 from pageloom.session import shared_table
 
 ANNOTATION_CONTEXT = "http://www.w3.org/ns/anno.jsonld"
@@ -184,6 +185,11 @@ def words(text: Column) -> Column:
 
 # Words of all names together that tasks are sent as one automaton: some 30 MB of arrays and tables.
 SHARED_WORDS = 200_000
+SHARES = 1_024
+# 64-bit cells of the filter for names beyond those: four names a cell, 16 MB at most.
+FILTER_CELLS, FILTER_PARTS = 1 << 21, 64
+# Words of texts, or one longer text, that a task looks up at once.
+FILTER_WORDS = 1 << 18
 
 
 def dictionary_entities(
@@ -194,19 +200,24 @@ def dictionary_entities(
     Names match as runs of whole words, whatever the case; names of the same words and type are
     one, under the smallest spelling. ``max_words`` may leave longer names out. ``text`` is not carried along.
 
-    The names' words are counted first. Up to ``shared_words`` of them, an automaton over whole words is sent to
-    the tasks, and one pass over each text finds all names in it, without a shuffle. More
-    names than that are a table that the texts' runs of words meet in joins. Both give the same rows.
+    The names' words are counted first. Up to ``shared_words`` of them, of the shortest names, which texts hold most often, are
+    sent to the tasks as an automaton over whole words; one pass over each text finds them, without a shuffle. Further
+    names are a table that the runs of words of the texts meet in a join, after a filter sent to the tasks has told which
+    runs may be names. Both give the same rows.
     """
     split = dictionary.select(words(F.col("name")).alias("_words"), "name", "type").where(F.size("_words") > 0)
     if max_words is not None:
         split = split.where(F.size("_words") <= max_words)
-    names = split.groupBy(F.array_join("_words", " ").alias("_run"), "type").agg(
-        F.min("name").alias("name"), F.first(F.col("_words")[0]).alias("_first"), F.first(F.size("_words")).alias("_n")
-    )
+    names = split.groupBy(F.array_join("_words", " ").alias("_run"), "type").agg(F.min("name").alias("name"), F.first(F.size("_words")).alias("_n"))
     names = shared_table(names)
-    if (names.agg(F.sum("_n")).first()[0] or 0) > shared_words:
-        return _joined_entities(df, names, text)
+    left = shared_words
+    for n, total in sorted(map(tuple, names.groupBy("_n").agg(F.sum("_n")).collect())):
+        if total > left:
+            # Of the first length that does not fit, as large a share as does.
+            fits = F.pmod(F.xxhash64("_run"), F.lit(SHARES)) < left * SHARES // total
+            short = (F.col("_n") < n) | ((F.col("_n") == n) & fits)
+            return _matched_entities(df, names.where(short), text).unionByName(_joined_entities(df, names.where(~short), text))
+        left -= total
     return _matched_entities(df, names, text)
 
 
@@ -239,30 +250,67 @@ def _matched_entities(df: DataFrame, names: DataFrame, text: str) -> DataFrame:
     return lines.mapInArrow(run, schema)
 
 
+def _run_filter(names: DataFrame, cells: int) -> np.ndarray:
+    """A filter that holds all ``_run``s; each of its parts is made by one task."""
+    size = cells // FILTER_PARTS
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column(0)
+            n = held.value_lengths().to_numpy()
+            keys = run_keys(RunHashes(held.flatten().to_numpy()), np.cumsum(n, dtype=np.int64) - n, n)
+            cell, bits = filter_bits(keys, cells)
+            yield pa.RecordBatch.from_arrays([pa.array(cell // size, pa.int32()), pa.array(cell % size, pa.int32()), pa.array(bits.view(np.int64))], ["part", "cell", "bits"])
+
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            part, cell, bits = (batch.column(i).to_numpy() for i in range(3))
+            for i in np.unique(part).tolist():
+                own = part == i
+                np.bitwise_or.at(parts.setdefault(i, np.zeros(size, np.int64)), cell[own], bits[own])
+        for i, held in parts.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([held.tobytes()], pa.binary())], ["part", "cells"])
+
+    hashed = names.select(F.transform(F.split("_run", " ", -1), lambda w: F.xxhash64(w)))
+    found = np.zeros(cells, np.uint64)
+    rows = hashed.mapInArrow(keyed, "part int, cell int, bits long").repartition("part").mapInArrow(united, "part int, cells binary")
+    for i, held in rows.collect():
+        found[i * size : (i + 1) * size] = np.frombuffer(held, np.uint64)
+    return found
+
+
 def _joined_entities(df: DataFrame, names: DataFrame, text: str) -> DataFrame:
     """``names`` of any number.
 
-    The numbers of words that names have decide which runs are taken, and only from words that begin a name. Each
-    row lists its distinct runs, which meet the names in an equi-join. The planner broadcasts the
+    A filter holds hashes of all names and of their beginnings, so that a text lists few runs of words besides the
+    names in it, each once. These meet the names in an equi-join. The planner broadcasts the
     names when their size allows; otherwise a frequent run is split by the skew-join rule.
     """
-    # How long the names are that a word begins: one short row per first word.
-    begins = names.groupBy("_first").agg(F.sort_array(F.collect_set("_n")).alias("_lengths"))
+    counted = names.groupBy("_n").count().collect()
+    cells = FILTER_PARTS
+    while cells < FILTER_CELLS and 4 * cells < sum(r["count"] for r in counted):
+        cells *= 2
+    sent = df.sparkSession.sparkContext.broadcast((_run_filter(names, cells), sorted(r["_n"] for r in counted)))
     others = [c for c in df.columns if c != text]
-    keyed = df.select(*others, words(F.col(text)).alias("_words")).withColumn("_row", F.monotonically_increasing_id())
-    keyed = shared_table(keyed)
-    at = keyed.select("_row", F.posexplode("_words").alias("_at", "_first"))
-    starts = at.join(begins, "_first").groupBy("_row").agg(F.collect_list(F.struct("_at", "_lengths")).alias("_starts"))
-    run = F.array_distinct(
-        F.flatten(
-            F.transform(
-                "_starts",
-                lambda s: F.transform(
-                    F.filter(s["_lengths"], lambda n: s["_at"] + n <= F.size("_words")),
-                    lambda n: F.array_join(F.slice("_words", s["_at"] + 1, n), " "),
-                ),
-            )
-        )
-    )
-    runs = keyed.join(starts, "_row").select(*others, F.explode(run).alias("_run"))
-    return runs.join(names.select("_run", "name", "type"), "_run").drop("_run")
+    schema = T.StructType([*(df.schema[c] for c in others), T.StructField("_run", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, lengths = sent.value
+        for batch in batches:
+            lists, hashes = batch.column(len(others)), batch.column(len(others) + 1)
+            size = hashes.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+            part = np.cumsum(size) // FILTER_WORDS
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)]
+            for first, last in zip(edges[:-1], edges[1:], strict=True):
+                own = size[first:last]
+                end, row = np.cumsum(own), np.repeat(np.arange(first, last), own)
+                at, n = may_stand(held, lengths, hashes.slice(first, last - first).flatten().to_numpy(), end[row - first])
+                said = lists.slice(first, last - first).flatten().to_pylist() if len(at) else []
+                found = sorted({(i, " ".join(said[a : a + k])) for i, a, k in zip(row[at].tolist(), at.tolist(), n.tolist(), strict=True)})
+                kept = batch.select(list(range(len(others)))).take(pa.array([i for i, _ in found], pa.int64()))
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([r for _, r in found], pa.string())], schema.names)
+
+    said = words(F.col(text))
+    runs = df.select(*(F.col(f"`{c}`") for c in others), said.alias("_words"), F.transform(said, lambda w: F.xxhash64(w)).alias("_hashes"))
+    return runs.mapInArrow(run, schema).join(names.select("_run", "name", "type"), "_run").drop("_run")

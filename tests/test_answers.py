@@ -1,13 +1,15 @@
 import hashlib
 import json
+import random
 
 import hypothesis
 import hypothesis.strategies as st
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pageloom.functions import names as N
-from pageloom.functions.words import Matcher, WordAutomaton
+from pageloom.functions.words import Matcher, RunHashes, WordAutomaton, filter_bits, may_stand, run_keys
 from pageloom.operators import annotate as A
 from pageloom.operators import entities as E
 from pageloom.operators import responses as R
@@ -156,6 +158,37 @@ def test_dictionary_against_brute_force(spark):
     assert A.dictionary_entities(df, nothing).collect() == []
 
 
+@pytest.mark.parametrize("shared", [0, 7, 60])
+def test_larger_dictionaries(spark, shared):
+    """Names in the automaton and in the join together, by all numbers of words, as by one automaton."""
+    rnd = random.Random(shared)
+    names = [(" ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 9))), rnd.choice("xy")) for _ in range(60)]
+    texts = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 80)))) for i in range(40)] + [(1, names[0][0]), (2, None), (None, names[1][0])]
+    df = spark.createDataFrame(texts, "k int, text string").repartition(3)
+    names = spark.createDataFrame(names, "name string, type string")
+    plain = sorted(map(str, A.dictionary_entities(df, names).collect()))
+    assert len(plain) > 300
+    assert sorted(map(str, A.dictionary_entities(df, names, shared_words=shared).collect())) == plain
+
+
+def test_filter_lists_few_runs_that_are_no_names():
+    """Each word begins names of many lengths; before, a text listed a run of every length at every word."""
+    rnd = np.random.default_rng(5)
+    n = np.tile(np.arange(1, 31), 100)
+    at = np.cumsum(n) - n
+    names = rnd.integers(0, 50, n.sum()).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    names[at] = np.uint64(7)
+    cells = np.zeros(1 << 10, np.uint64)
+    cell, bits = filter_bits(run_keys(RunHashes(names), at, n), len(cells))
+    np.bitwise_or.at(cells, cell, bits)
+    place, many = may_stand(cells, range(1, 31), names, np.repeat(at + n, n))
+    found = set(zip(place.tolist(), many.tolist(), strict=True))
+    assert set(zip(at.tolist(), n.tolist(), strict=True)) <= found
+    other = np.full(30_000, 7, np.uint64) + np.arange(30_000, dtype=np.uint64) % np.uint64(2) * rnd.integers(1 << 40, 1 << 62, 30_000).astype(np.uint64)
+    place, many = may_stand(cells, range(2, 31), other, np.full(30_000, 30_000))
+    assert len(place) < 3_000
+
+
 @hypothesis.given(st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=4).map(tuple), unique=True, max_size=9), st.text("abcd", max_size=30))
 def test_word_automaton(runs, text):
     """Overlapping runs, runs inside runs and words that no run has."""

@@ -13,7 +13,7 @@ from pageloom.operators import responses as R
 from pageloom.operators.html import html_blocks, processed_html
 from pageloom.functions.text import prompt_text
 from pageloom.sources import tables
-from pageloom.session import shared_folder, spread
+from pageloom.session import shared_folder, shared_table, spread
 from workload import common as C
 from workload.html_queries import SQL_BLOCKS
 
@@ -140,7 +140,10 @@ def dictionary_entities(spark, sf):
 
 def annotated_text_entities(spark, sf):
     """Names found in annotated text alone: the words and the whole text of every ``h1``."""
-    parsed = html_blocks(C.spread_pages(spark, sf), with_text=False)
+    parsed = html_blocks(C.spread_pages(spark, sf), with_text=False, least_own=A.MIN_CHARACTERS)
+    # Pages are parsed once: the blocks that are read below are written.
+    read = F.filter("blocks", lambda b: A.is_substantial(b) | (b["tag"] == "h1"))
+    parsed = shared_table(parsed.withColumn("blocks", read))
     found = A.rule_annotate(parsed).select("page_id", "pos", F.col("annotation.body.value").alias("text"))
     said = A.words(F.col("b.own_text"))
     titles = (
