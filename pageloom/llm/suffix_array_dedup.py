@@ -17,7 +17,7 @@ from pageloom.llm.repeats import HOT, BLOCK_BYTES, Repeats, Shard
 WINDOW = 50
 GRAM = 18
 Q = 8
-PORTION = 1 << 19
+PORTION = 1 << 17
 
 
 def refined(pointer: np.ndarray, crowd: np.ndarray, at: np.ndarray, ahead: np.ndarray) -> None:
