@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.tables import chunks
+from pageloom.llm.tables import chunks, give_back
 
 SAMPLE_BYTES = 48 << 10
 SAMPLE_ROW = 1024
@@ -175,6 +175,8 @@ def predict(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["key", "lang_pred", "score"]
             )
+        del parser
+        give_back()
 
     readable = F.coalesce(F.col(text).rlike(HAS_LETTER), F.lit(False))
     rows = docs.select(F.col(key).cast("long").alias("key"), F.when(readable, F.col(text)).cast("binary").alias("text"))
