@@ -144,3 +144,48 @@ def test_pipeline_stage(spark):
     expected = {c for _, c in brute([(r.doc_id, r.text) for r in docs.collect()])}
     kept = [r.doc_id for r in corpus_pipeline.without_near_duplicates(spark, docs, "").collect()]
     assert sorted(kept) == sorted(expected)
+
+
+def united(rows):
+    """Keys that stay if both the shingles and the fingerprints link."""
+    least = {key: c for key, c in brute(rows)}
+    alike = {key: c for key, (_, c) in fingerprints(rows).items()}
+    name = {key: key for key, _ in rows}
+    while True:
+        low = {}
+        for key in name:
+            for group in (("j", least[key]), ("s", alike[key])):
+                low[group] = min(name[key], low.get(group, name[key]))
+        now = {key: min(low["j", least[key]], low["s", alike[key]]) for key in name}
+        if now == name:
+            return sorted(set(name.values()))
+        name = now
+
+
+def test_pipeline_stage_takes_what_simhash_links(spark):
+    """Texts of one often repeated passage have near fingerprints, while half of their different shingles are their own."""
+    rnd = random.Random(14)
+    rows = []
+    for _ in range(4):
+        passage = [f"w{rnd.randrange(5000)}" for _ in range(60)] * 40
+        tails = [[f"v{rnd.randrange(5000)}" for _ in range(25)] for _ in range(3)]
+        # A copy of each that only its shingles show, so that links of both kinds make chains.
+        rows += [" ".join([*passage, *tail * n]) for tail in tails for n in (1, 40)]
+        rows.append(" ".join(f"u{rnd.randrange(5000)}" for _ in range(80)))
+    rnd.shuffle(rows)
+    rows = list(enumerate(rows))
+    expected = united(rows)
+    assert len(expected) < len({c for _, c in brute(rows)}) and len(expected) < len({c for _, c in fingerprints(rows).values()})
+    docs = spark.createDataFrame([*rows, *rows[:9]], "doc_id long, text string").repartition(4)
+    got = [r.doc_id for r in corpus_pipeline.without_near_duplicates(spark, docs, "").collect()]
+    assert sorted(got) == expected
+
+
+def test_pipeline_stage_and_rows_without_an_id(spark):
+    """Rows without an id stand for no group, and link those that are in one group with them."""
+    found = [(1, 10, 1, 10), (2, 20, 2, 20), (3, 30, 3, 30), (4, 40, 4, 40), (4, 41, 4, 40), (None, 50, None, None), (9, 60, 9, 60)]
+    alike = [(10, 50), (20, 50), (50, 50), (30, 30), (40, 40), (41, 41), (60, 60), (20, 50)]
+    found = spark.createDataFrame(found, "doc_id long, mark long, component_id long, component_mark long")
+    alike = spark.createDataFrame(alike, "mark long, group long")
+    got = sorted(r.mark for r in corpus_pipeline._outnamed(found, alike).collect())
+    assert got == [20]
